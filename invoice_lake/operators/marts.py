@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from invoice_lake.functions.codes import supplier_id
 from invoice_lake.functions.text import has_word, normalize_text, word_flags
-from invoice_lake.operators.matching import first_per, code_map, join_codes, join_keywords, match_any_prefix
-from invoice_lake.operators.ranking import rank_in_groups, share
+from invoice_lake.operators.matching import code_map, first_per, join_any_prefix, join_codes, join_keywords
+from invoice_lake.operators.ranking import rank_in_groups
 from invoice_lake.schemas import ITEM_KEY
 
 # Flag column -> pattern tested on the normalised description.
@@ -263,11 +263,11 @@ def ranked_by_code(items: DataFrame, **options) -> DataFrame:
         F.col("ncm_sh_tipo_de_produto").alias("ncm_descr"),
         F.col("descricao_do_produto_servico").alias("descricao"),
     ).agg(F.sum("valor_total").alias("total"))
-    ranked = rank_in_groups(
+    return rank_in_groups(
         totals, ["ano", "ncm_cod"], "total", ["ncm_descr", "descricao"],
-        rank="ranking_no_ncm", total="total_do_ncm", **options,
+        rank="ranking_no_ncm", total="total_do_ncm", share="pct_no_ncm",
+        share_total="pct_total_das_descricoes_exibidas", **options,
     )
-    return ranked.withColumn("pct_no_ncm", share("total", "total_do_ncm"))
 
 
 def ranked_by_type(items: DataFrame, mapping: DataFrame, **options) -> DataFrame:
@@ -282,20 +282,19 @@ def ranked_by_type(items: DataFrame, mapping: DataFrame, **options) -> DataFrame
         "ano", F.col("tipo").alias("tipo_de_produto"), F.col("codigo_ncm_sh").alias("ncm_cod"),
         "ncm_descr", "descricao", "total",
     )
-    ranked = rank_in_groups(
+    return rank_in_groups(
         typed, ["ano", "tipo_de_produto"], "total", ["ncm_cod", "ncm_descr", "descricao"],
-        rank="ranking_no_tipo_de_produto", total="total_do_tipo_de_produto", **options,
+        rank="ranking_no_tipo_de_produto", total="total_do_tipo_de_produto",
+        share="pct_no_tipo_de_produto", **options,
     )
-    return ranked.withColumn("pct_no_tipo_de_produto", share("total", "total_do_tipo_de_produto"))
 
 
 def ranked_keyword_hits(hits: DataFrame, **options) -> DataFrame:
     """``keyword_hits`` ranked within year and keyword."""
-    ranked = rank_in_groups(
+    return rank_in_groups(
         hits, ["ano", "tipo_de_produto"], "total", ["descricao"],
-        rank="ranking_no_tipo_de_produto", total="total_do_tipo_de_produto", **options,
+        rank="ranking_no_tipo_de_produto", total="total_do_tipo_de_produto", share="pct_no_grupo", **options,
     )
-    return ranked.withColumn("pct_no_grupo", share("total", "total_do_tipo_de_produto"))
 
 
 # --- code groups by prefix ---------------------------------------------------------------------
@@ -311,10 +310,7 @@ def buyers_by_code_group(items: DataFrame, groups: DataFrame) -> DataFrame:
         year().alias("ano"), "cnpj_destinatario", F.col("nome_destinatario").alias("orgao_comprador"),
         F.col("codigo_ncm_sh").alias("_codigo"),
     ).agg(F.sum("valor_total").alias("_total"), F.count("*").alias("_linhas"))
-    matches = match_any_prefix(
-        items.select(F.col("codigo_ncm_sh").alias("_codigo")), groups, "_codigo", "ncm_cod"
-    )
-    joined = totals.join(matches, "_codigo", "left")
+    joined = join_any_prefix(totals, groups, "_codigo")
     matched = F.when(F.col("ncm_cod").isNotNull(), F.col("_codigo"))
     return joined.groupBy(
         "ano", F.coalesce("grupo", F.lit(OTHER_PRODUCTS)).alias("grupo"), "orgao_comprador"

@@ -65,26 +65,32 @@ def join_any_prefix(
     prefix: str = "ncm_cod",
     lengths: Sequence[int] = (8, 6, 4),
 ) -> DataFrame:
-    """Left join on code = prefix OR left(code, 6) = prefix OR left(code, 4) = prefix."""
+    """Left join on code = prefix OR left(code, 6) = prefix OR left(code, 4) = prefix.
+
+    Reports sum the items per code first and join the sums.
+    """
     return items.join(match_any_prefix(items, mapping, code, prefix, lengths), code, "left")
 
 
-def match_chains(
-    codes: DataFrame, chain_map: DataFrame, code: str = "codigo_ncm_sh", dedup: Sequence[str] = ("codigo_cadeia",)
-) -> DataFrame:
-    """Distinct codes with their chains, left(code, tamanho_prefixo) = prefixo_sh.
+def match_chains(items: DataFrame, chain_map: DataFrame, code: str = "codigo_ncm_sh") -> DataFrame:
+    """Inner join on left(code, tamanho_prefixo) = prefixo_sh.
 
-    A code that meets a chain through several prefixes keeps the longest one.
+    Every item looks up the cuts of its code, one to eight digits, by equality. With a mapping that
+    Spark broadcasts (mappings are edited by hand) no item is shuffled.
     """
     lengths = F.explode(F.sequence(F.lit(1), F.lit(8))).alias("tamanho_prefixo")
-    cuts = (
-        codes.select(code).distinct().select(code, lengths)
-        .withColumn("prefixo_sh", F.substring(F.col(code), F.lit(1), F.col("tamanho_prefixo")))
+    cuts = items.select("*", lengths).withColumn(
+        "prefixo_sh", F.substring(F.col(code), F.lit(1), F.col("tamanho_prefixo"))
     )
     attributes = [c for c in CHAIN_COLUMNS if c in chain_map.columns]
     rows = chain_map.select("prefixo_sh", F.col("tamanho_prefixo").cast("int"), *attributes)
-    matched = cuts.join(rows, ["prefixo_sh", "tamanho_prefixo"])
-    return first_per(matched, [code, *dedup], _chain_order(attributes))
+    return cuts.join(rows, ["prefixo_sh", "tamanho_prefixo"])
+
+
+def match_chains_by_code(items: DataFrame, chain_map: DataFrame, code: str = "codigo_ncm_sh") -> DataFrame:
+    """``match_chains`` for a mapping too large to broadcast: the distinct codes are matched, and the
+    items join the matched codes. It scans the codes twice but never multiplies unmatched items."""
+    return items.join(match_chains(items.select(code).distinct(), chain_map, code), code)
 
 
 def _chain_order(attributes: Sequence[str]) -> list[Column]:
@@ -98,19 +104,19 @@ def chain_items(
     chain_map: DataFrame,
     years: Sequence[int],
     dedup: Sequence[str] = ("codigo_cadeia",),
-    code: str = "codigo_ncm_sh",
+    large_map: bool = False,
 ) -> DataFrame:
     """Items of the given years with their production chains, each item at most once per chain.
 
-    ``dedup`` names the chain columns within which an item may stand once. Reports by CNAE need
-    ("codigo_cadeia", "cnae"), or an item of a chain would count for one of its CNAEs only.
+    An item that meets a chain through several prefixes keeps the longest one. ``dedup`` names the
+    chain columns within which an item may stand once. Reports by CNAE need ("codigo_cadeia",
+    "cnae"), or an item of a chain would count for one of its CNAEs only.
     """
     in_years = items.filter(F.year("data_emissao").isin(*years))
-    matches = match_chains(in_years, chain_map, code, dedup)
-    joined = in_years.join(matches, code)
-    attributes = [c for c in matches.columns if c in CHAIN_COLUMNS]
+    matched = (match_chains_by_code if large_map else match_chains)(in_years, chain_map)
+    attributes = [c for c in matched.columns if c in CHAIN_COLUMNS]
     rest = [F.asc_nulls_last(c) for c in sorted(set(items.columns) - set(ITEM_KEY))]
-    return first_per(joined, [*ITEM_KEY, *dedup], [*_chain_order(attributes), *rest])
+    return first_per(matched, [*ITEM_KEY, *dedup], [*_chain_order(attributes), *rest])
 
 
 def join_keywords(

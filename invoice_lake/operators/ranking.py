@@ -1,7 +1,7 @@
 """Ranks and shares within groups that stay distributed when one group is very large.
 
-A window over a group sorts the whole group in one task. Here only groups up to ``hot_rows`` rows
-do that; a larger group is cut into slices of equal or close values, every slice is ranked by
+A window over a group sorts the whole group in one task. Here only groups of up to ``hot_rows``
+rows do that. A larger group is cut into slices of equal or close values: every slice is ranked by
 itself, and the number of rows in the slices before it is added. Both ways give the same ranks.
 """
 
@@ -13,34 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
-SPREAD = 32
-
-
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Equality of the columns in which NULL equals NULL: a NULL group is a group."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[f"_r_{name}"])
-    return condition
-
-
-def _lookup(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
-    renamed = right.withColumnsRenamed({name: f"_r_{name}" for name in names})
-    return left.join(renamed, _same(left, renamed, names)).drop(*[f"_r_{name}" for name in names])
-
-
-def with_group_totals(
-    df: DataFrame, groups: Sequence[str], totals: Sequence[Column], spread_by: Sequence[str], spread: int = SPREAD
-) -> DataFrame:
-    """The rows with aggregates of their group, like ``agg OVER (PARTITION BY groups)``.
-
-    The aggregates are computed with map-side combining and joined back. The rows of a group are
-    spread over ``spread`` join keys by a hash of ``spread_by``, so no task takes a whole group.
-    """
-    per_group = df.groupBy(*groups).agg(*totals)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
-    salted = df.withColumn("_salt", F.pmod(F.hash(*spread_by), F.lit(spread)))
-    return _lookup(salted, per_group.withColumn("_salt", salts), [*groups, "_salt"]).drop("_salt")
 
 
 def rank_in_groups(
@@ -50,32 +22,57 @@ def rank_in_groups(
     ties: Sequence[str],
     rank: str,
     total: str,
+    share: str,
+    share_total: str | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """ROW_NUMBER of ``value`` descending within ``groups``, and the group's sum of ``value``.
+    """Add to each row, within its group: ROW_NUMBER of ``value`` descending, the sum of ``value``,
+    the rounded share of that sum, and on request the sum of the rounded shares.
 
     Equal values are ordered by a three-digit hash of ``ties``, then by ``ties``; ``groups`` and
     ``ties`` together must identify a row. The hash cuts a long run of equal values into slices.
     """
-    groups, ties = list(groups), list(ties)
-    sized = with_group_totals(
-        df, groups, [F.sum(value).alias(total), F.count("*").alias("_rows")], ties
+    keys = [f"_key{i}" for i in range(len(groups))]
+    keyed = df.withColumns({key: _as_key(name) for key, name in zip(keys, groups)})
+
+    # At most rows / hot_rows groups are hot, which bounds the broadcast; mostly there is none.
+    sizes = keyed.groupBy(*keys).agg(F.sum(value).alias("_total"), F.count("*").alias("_n"))
+    hot_groups = sizes.filter(F.col("_n") > hot_rows).select(*keys, "_total", F.lit(True).alias("_hot"))
+    flagged = keyed.join(F.broadcast(hot_groups), keys, "left")
+
+    hot = F.col("_hot").isNotNull()
+    sliced = flagged.withColumn("_tie", tie_hash(ties)).withColumns(
+        {
+            "_band": F.when(hot, F.coalesce(_band(F.col(value)), F.lit(float("-inf")))),
+            "_level": F.when(hot, F.coalesce(F.col(value).cast("string"), F.lit(""))),
+            "_slice": F.when(hot, F.col("_tie")),
+        }
     )
-    keyed = sized.withColumn("_tie", tie_hash(ties))
-    by_ties = [F.asc("_tie"), *[F.asc_nulls_last(name) for name in ties]]
+    piece = [*keys, "_band", "_level", "_slice"]
+    within = Window.partitionBy(*piece)
+    ordered = within.orderBy(
+        F.desc_nulls_last(value), F.asc("_tie"), *[F.asc_nulls_last(name) for name in ties]
+    )
+    placed = sliced.withColumns(
+        {
+            "_place": F.row_number().over(ordered),
+            total: F.when(hot, F.col("_total")).otherwise(F.sum(value).over(within)),
+        }
+    ).withColumn(share, ratio(value, total))
+    if share_total is not None:
+        placed = _add_share_total(placed, keys, within, share, share_total)
 
-    whole = Window.partitionBy(*groups).orderBy(F.desc_nulls_last(value), *by_ties)
-    cold = keyed.filter(F.col("_rows") <= hot_rows).withColumn(rank, F.row_number().over(whole))
+    before = _rows_before(sliced.filter(hot), keys, value)
+    ranked = placed.join(before, piece, "left")
+    place = (F.col("_place") + F.coalesce("_before", F.lit(0))).cast("bigint")
+    extra = [share] if share_total is None else [share, share_total]
+    return ranked.select(*df.columns, total, place.alias(rank), *extra)
 
-    hot = keyed.filter(F.col("_rows") > hot_rows).withColumn("_band", _band(F.col(value)))
-    offsets = _rows_before(hot, groups, value)
-    piece = [*groups, "_band", value, "_tie"]
-    within = Window.partitionBy(*piece).orderBy(*by_ties)
-    placed = _lookup(hot.withColumn("_place", F.row_number().over(within)), offsets, piece)
-    hot = placed.withColumn(rank, F.col("_place") + F.col("_before"))
 
-    columns = [*df.columns, total, F.col(rank).cast("bigint").alias(rank)]
-    return cold.select(*columns).unionByName(hot.select(*columns))
+def _as_key(name: str) -> Column:
+    """A group value as text that is never NULL, so that NULL is a group in equality joins too."""
+    text = F.col(name).cast("string")
+    return F.coalesce(F.concat(F.lit("="), text), F.lit(""))
 
 
 def tie_hash(ties: Sequence[str]) -> Column:
@@ -89,28 +86,41 @@ def _band(value: Column) -> Column:
     return F.signum(number) * F.floor(F.log1p(F.abs(number)) * 2000)
 
 
-def _rows_before(hot: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """For each (group, band, value, tie slice): the number of rows that rank before the slice."""
-    counts = hot.groupBy(*groups, "_band", value, "_tie").agg(F.count("*").alias("_n"))
+def _rows_before(hot: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """For each slice of the hot groups: the number of rows of its group that rank before it."""
+    counts = hot.groupBy(*keys, "_band", "_level", "_slice").agg(
+        F.count("*").alias("_n"), F.first(value).alias("_value")
+    )
     earlier = (Window.unboundedPreceding, -1)
 
-    bands = counts.groupBy(*groups, "_band").agg(F.sum("_n").alias("_n"))
-    by_band = Window.partitionBy(*groups).orderBy(F.desc_nulls_last("_band")).rowsBetween(*earlier)
-    bands = bands.select(
-        *groups, "_band", F.coalesce(F.sum("_n").over(by_band), F.lit(0)).alias("_before_band")
+    by_band = Window.partitionBy(*keys).orderBy(F.desc("_band")).rowsBetween(*earlier)
+    bands = (
+        counts.groupBy(*keys, "_band").agg(F.sum("_n").alias("_n"))
+        .select(*keys, "_band", F.coalesce(F.sum("_n").over(by_band), F.lit(0)).alias("_before_band"))
     )
     in_band = (
-        Window.partitionBy(*groups, "_band")
-        .orderBy(F.desc_nulls_last(value), F.asc("_tie"))
+        Window.partitionBy(*keys, "_band")
+        .orderBy(F.desc_nulls_last("_value"), F.asc("_slice"))
         .rowsBetween(*earlier)
     )
-    counts = counts.withColumn("_before_slice", F.coalesce(F.sum("_n").over(in_band), F.lit(0)))
-    joined = _lookup(counts, bands, [*groups, "_band"])
-    before = F.col("_before_band") + F.col("_before_slice")
-    return joined.select(*groups, "_band", value, "_tie", before.alias("_before"))
+    sliced = counts.withColumn("_before_slice", F.coalesce(F.sum("_n").over(in_band), F.lit(0)))
+    before = (F.col("_before_band") + F.col("_before_slice")).alias("_before")
+    return sliced.join(bands, [*keys, "_band"]).select(*keys, "_band", "_level", "_slice", before)
+
+
+def _add_share_total(
+    placed: DataFrame, keys: Sequence[str], within: Window, share: str, share_total: str
+) -> DataFrame:
+    """Sum of the rounded shares per group. It is added up in decimals, so the order is no matter."""
+    exact = F.sum(F.col(share).cast("decimal(18,4)"))
+    hot = F.col("_hot").isNotNull()
+    hot_sums = placed.filter(hot).groupBy(*keys).agg(exact.alias("_shares"))
+    summed = placed.join(F.broadcast(hot_sums), keys, "left")
+    value = F.when(hot, F.col("_shares")).otherwise(exact.over(within))
+    return summed.withColumn(share_total, value.cast("double"))
 
 
-def share(part: Column | str, whole: Column | str, digits: int = 4) -> Column:
+def ratio(part: Column | str, whole: Column | str, digits: int = 4) -> Column:
     """Rounded ratio. Both sides go to double: a decimal ratio would keep six digits only."""
     part = F.col(part) if isinstance(part, str) else part
     whole = F.col(whole) if isinstance(whole, str) else whole

@@ -11,7 +11,7 @@ from invoice_lake.functions.codes import operation_digit, taxpayer_root
 from invoice_lake.functions.text import contains_any, first_category, label_override, matches_any
 from invoice_lake.operators.marts import year
 from invoice_lake.operators.matching import join_supplier_presence
-from invoice_lake.operators.ranking import share
+from invoice_lake.operators.ranking import ratio
 
 # Words and labels of the published reports.
 FOREIGN_WORDS = ("import", "exterior", "internacional")
@@ -59,7 +59,7 @@ def nature_share(invoices: DataFrame, words: Sequence[str] = FOREIGN_WORDS, only
         .groupBy(year().alias("ano"), "natureza_da_operacao")
         .agg(F.sum("valor_nota_fiscal").alias("valor"), F.count("*").alias("qtd_notas"))
         .withColumn("total", total)
-        .withColumn("valor_pct", share("valor", "total"))
+        .withColumn("valor_pct", ratio("valor", "total"))
         .orderBy("ano", F.desc("qtd_notas"), F.desc("valor"), "natureza_da_operacao")
     )
 
@@ -228,6 +228,7 @@ def keyword_rows(
     ranked: DataFrame, words: Sequence[str] = PLASTIC_WORDS, labels: dict[int, str] | None = None
 ) -> DataFrame:
     """Rows of ``ranked_by_code`` whose code text or description has one of ``words``."""
+    ranked = ranked.drop("pct_total_das_descricoes_exibidas")
     in_code = matches_any(F.col("ncm_descr"), words)
     in_text = matches_any(F.col("descricao"), words)
     rest = [c for c in ranked.columns if c != "ano"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from invoice_lake.functions import codes, parsing, periods, text
-from invoice_lake.operators import cleaning, marts, matching, quality, ranking
+from invoice_lake.operators import cleaning, marts, matching, quality
 from invoice_lake.plans import inquiries, reports
 from invoice_lake.sources import layers
 from workload import views
@@ -551,9 +551,7 @@ def keyword_hits_ranked(spark, sf):
 
 @register
 def rank_within_ncm(spark, sf):
-    ranked = _ranked_by_code(spark, sf)
-    exact = F.sum(F.col("pct_no_ncm").cast("decimal(10,4)")).alias("pct_total_das_descricoes_exibidas")
-    return plain(ranking.with_group_totals(ranked, ["ano", "ncm_cod"], [exact], ["ncm_descr", "descricao"]))
+    return plain(_ranked_by_code(spark, sf))
 
 
 @register
