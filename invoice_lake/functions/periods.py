@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,21 @@ def previous_period(day: Column) -> Column:
     return F.date_format(F.add_months(day, -1), "yyyyMM")
 
 
+def in_years(day: Column, years: Sequence[int]) -> Column:
+    """Whether ``day`` lies in one of ``years``, as ranges of the column itself.
+
+    A range lets the Parquet scan skip row groups by their minimum and maximum; YEAR(day) = .. does not.
+    """
+    def start(y: int) -> Column:
+        return F.lit(f"{y:04d}-01-01").cast("timestamp_ntz")
+
+    wanted = sorted(set(years))
+    firsts = [y for y in wanted if y - 1 not in wanted]
+    lasts = [y for y in wanted if y + 1 not in wanted]
+    ranges = [(day >= start(first)) & (day < start(last + 1)) for first, last in zip(firsts, lasts)]
+    return reduce(or_, ranges, F.lit(False))
+
+
 def expand_months(bounds: DataFrame, first: str = "inicio", last: str = "fim") -> DataFrame:
     """All months from ``first`` to ``last`` ('YYYYMM' columns), inclusive; none if last < first."""
     start = F.to_date(F.col(first), "yyyyMM")

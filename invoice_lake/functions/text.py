@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
-from re import escape, match
+from re import escape, fullmatch, match
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Java gives accented letters word status at \b; the reports need ASCII word boundaries.
+# Java gives accented letters word status at \b; the reports need ASCII word boundaries. Next to an
+# ASCII word character a boundary is a single look-around.
 _WORD = "[0-9A-Za-z_]"
 _BOUNDARY = f"(?:(?<!{_WORD})(?={_WORD})|(?<={_WORD})(?!{_WORD}))"
+_BEFORE_WORD = f"(?<!{_WORD})"
+_AFTER_WORD = f"(?!{_WORD})"
 
 
 def normalize_text(text: Column, collapse_all: bool = False) -> Column:
@@ -36,7 +39,9 @@ def has_word(text: Column, pattern: str) -> Column:
     A plain substring test of the pattern's literal beginning goes first: it is far cheaper, and
     most texts fail it.
     """
-    matched = text.rlike(f"{_BOUNDARY}(?:{pattern}){_BOUNDARY}")
+    start = _BEFORE_WORD if match(_WORD, pattern) and "|" not in pattern else _BOUNDARY
+    end = _AFTER_WORD if fullmatch(f".*{_WORD}{_WORD}[?]?", pattern) and "|" not in pattern else _BOUNDARY
+    matched = text.rlike(f"{start}(?:{pattern}){end}")
     literal = _literal_start(pattern)
     return text.contains(literal) & matched if literal else matched
 
@@ -51,7 +56,10 @@ def _literal_start(pattern: str) -> str:
 
 
 def word_flags(text: Column, patterns: dict[str, str]) -> list[Column]:
-    """One boolean column per entry of ``{column name: pattern}``."""
+    """One boolean column per entry of ``{column name: pattern}``.
+
+    Give a normalised text as a column of its own, so that it is computed once for all flags.
+    """
     return [has_word(text, pattern).alias(name) for name, pattern in patterns.items()]
 
 

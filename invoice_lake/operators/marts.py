@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from invoice_lake.functions.codes import supplier_id
-from invoice_lake.functions.text import has_word, normalize_text, word_flags
+from invoice_lake.functions.periods import in_years
+from invoice_lake.functions.text import normalize_text, word_flags
 from invoice_lake.operators.matching import code_map, first_per, join_any_prefix, join_codes, join_keywords
 from invoice_lake.operators.ranking import rank_in_groups
 from invoice_lake.schemas import ITEM_KEY
@@ -69,7 +70,7 @@ def _year_values(years: Sequence[int]) -> list[Column]:
 def type_year_totals(items: DataFrame, mapping: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
     """Value, distinct suppliers and distinct invoices per product type and year."""
     if years is not None:
-        items = items.filter(F.year("data_emissao").isin(*years))
+        items = items.filter(in_years(F.col("data_emissao"), years))
     return (
         join_codes(items, mapping)
         .groupBy("tipo", year().alias("ano"))
@@ -110,7 +111,7 @@ def sum_of_years(years: Sequence[int], prefix: str = "Valor Total ") -> Column:
 def type_totals_by_year(items: DataFrame, mapping: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
     """Totals per year over all types; suppliers and invoices are distinct across types."""
     if years is not None:
-        items = items.filter(F.year("data_emissao").isin(*years))
+        items = items.filter(in_years(F.col("data_emissao"), years))
     # Semi join: an item counts once, whatever number of types its code has.
     codes = code_map(mapping).select(F.col("ncm").alias("codigo_ncm_sh")).distinct()
     return (
@@ -127,7 +128,7 @@ def type_totals_by_year(items: DataFrame, mapping: DataFrame, years: Sequence[in
 def items_by_code(items: DataFrame, mapping: DataFrame, only_year: int | None = None) -> DataFrame:
     """Value per year, code, type and description; unmapped codes stay, flagged."""
     if only_year is not None:
-        items = items.filter(F.year("data_emissao") == only_year)
+        items = items.filter(in_years(F.col("data_emissao"), [only_year]))
     totals = items.groupBy(
         year().alias("ano"), "codigo_ncm_sh", F.col("descricao_do_produto_servico").alias("descricao")
     ).agg(F.sum("valor_total").alias("total"))
@@ -213,8 +214,8 @@ def keyword_mart(
 
     The patterns run once per distinct description and code, after the aggregation.
     """
-    totals = items_by_code(items, mapping)
-    flags = word_flags(normalize_text(F.col("descricao")), patterns)
+    totals = items_by_code(items, mapping).withColumn("_texto", normalize_text(F.col("descricao")))
+    flags = word_flags(F.col("_texto"), patterns)
     return totals.select("ano", "ncm", "tipo_ncm", "ncm_mapeada", *flags, "descricao", "total")
 
 
@@ -245,11 +246,14 @@ def keyword_hits(
     totals = items.groupBy(
         year().alias("ano"), F.col("descricao_do_produto_servico").alias("descricao")
     ).agg(F.sum("valor_total").alias("total"))
-    lowered = F.lower("descricao")
-    flags = [has_word(lowered, pattern).alias(name) for name, pattern in patterns.items()]
-    hits = join_keywords(totals, normalize_text(F.col("descricao")), keywords, needles, "tipo_de_produto")
-    found = F.when(F.col("tipo_de_produto").isNotNull(), F.lit(True)).alias("chave_encontrada")
-    return hits.select("ano", "tipo_de_produto", found, *flags, "descricao", "total")
+    texts = totals.withColumns(
+        {"_minusculas": F.lower("descricao"), "_texto": normalize_text(F.col("descricao"))}
+    )
+    flags = word_flags(F.col("_minusculas"), patterns)
+    flagged = texts.select("ano", *flags, "_texto", "descricao", "total")
+    hits = join_keywords(flagged, F.col("_texto"), keywords, needles, "tipo_de_produto")
+    found = F.when(F.col("tipo_de_produto").isNotNull(), F.lit(True))
+    return hits.withColumn("chave_encontrada", found).drop("_texto")
 
 
 # --- ranks within a group ----------------------------------------------------------------------

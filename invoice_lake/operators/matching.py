@@ -9,11 +9,14 @@ partitions of hot codes. Every condition is an equality, so neither plan is a ne
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from invoice_lake.functions.codes import taxpayer_root
+from invoice_lake.functions.periods import in_years as _in_years
 from invoice_lake.functions.text import found_keywords
 from invoice_lake.schemas import ITEM_KEY
 
@@ -72,7 +75,7 @@ def join_any_prefix(
     return items.join(match_any_prefix(items, mapping, code, prefix, lengths), code, "left")
 
 
-def match_chains(items: DataFrame, chain_map: DataFrame, code: str = "codigo_ncm_sh") -> DataFrame:
+def match_chains(items: DataFrame, prefixes: DataFrame, code: str = "codigo_ncm_sh") -> DataFrame:
     """Inner join on left(code, tamanho_prefixo) = prefixo_sh.
 
     Every item looks up the cuts of its code, one to eight digits, by equality. With a mapping that
@@ -82,21 +85,13 @@ def match_chains(items: DataFrame, chain_map: DataFrame, code: str = "codigo_ncm
     cuts = items.select("*", lengths).withColumn(
         "prefixo_sh", F.substring(F.col(code), F.lit(1), F.col("tamanho_prefixo"))
     )
-    attributes = [c for c in CHAIN_COLUMNS if c in chain_map.columns]
-    rows = chain_map.select("prefixo_sh", F.col("tamanho_prefixo").cast("int"), *attributes)
-    return cuts.join(rows, ["prefixo_sh", "tamanho_prefixo"])
+    return cuts.join(prefixes, ["prefixo_sh", "tamanho_prefixo"])
 
 
-def match_chains_by_code(items: DataFrame, chain_map: DataFrame, code: str = "codigo_ncm_sh") -> DataFrame:
+def match_chains_by_code(items: DataFrame, prefixes: DataFrame, code: str = "codigo_ncm_sh") -> DataFrame:
     """``match_chains`` for a mapping too large to broadcast: the distinct codes are matched, and the
     items join the matched codes. It scans the codes twice but never multiplies unmatched items."""
-    return items.join(match_chains(items.select(code).distinct(), chain_map, code), code)
-
-
-def _chain_order(attributes: Sequence[str]) -> list[Column]:
-    """Longest prefix first; the other mapping columns only make the choice repeatable."""
-    rest = [F.asc_nulls_last(c) for c in ("prefixo_sh", *sorted(attributes))]
-    return [F.desc("tamanho_prefixo"), *rest]
+    return items.join(match_chains(items.select(code).distinct(), prefixes, code), code)
 
 
 def chain_items(
@@ -111,12 +106,25 @@ def chain_items(
     An item that meets a chain through several prefixes keeps the longest one. ``dedup`` names the
     chain columns within which an item may stand once. Reports by CNAE need ("codigo_cadeia",
     "cnae"), or an item of a chain would count for one of its CNAEs only.
+
+    The items pass the shuffle with the prefix they matched; the chain's attributes join afterwards.
     """
-    in_years = items.filter(F.year("data_emissao").isin(*years))
-    matched = (match_chains_by_code if large_map else match_chains)(in_years, chain_map)
-    attributes = [c for c in matched.columns if c in CHAIN_COLUMNS]
+    prefix = ["prefixo_sh", "tamanho_prefixo"]
+    attributes = [c for c in CHAIN_COLUMNS if c in chain_map.columns]
+    rows = chain_map.select("prefixo_sh", F.col("tamanho_prefixo").cast("int"), *attributes)
+    # Of the rows with one prefix and chain, the choice is arbitrary; make it repeatable.
+    rows = first_per(rows, [*prefix, *dedup], [F.asc_nulls_last(c) for c in sorted(attributes)])
+
+    in_years = items.filter(_in_years(F.col("data_emissao"), years))
+    match = match_chains_by_code if large_map else match_chains
+    matched = match(in_years, rows.select(*prefix, *dedup))
     rest = [F.asc_nulls_last(c) for c in sorted(set(items.columns) - set(ITEM_KEY))]
-    return first_per(matched, [*ITEM_KEY, *dedup], [*_chain_order(attributes), *rest])
+    once = first_per(matched, [*ITEM_KEY, *dedup], [F.desc("tamanho_prefixo"), "prefixo_sh", *rest])
+    # An unset chain column such as the CNAE is a value of its own here.
+    keys = [*prefix, *dedup]
+    renamed = rows.withColumnsRenamed({name: f"_map_{name}" for name in keys})
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_map_{name}")) for name in keys])
+    return once.join(renamed, same).drop(*[f"_map_{name}" for name in keys])
 
 
 def join_keywords(

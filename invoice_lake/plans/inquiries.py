@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from invoice_lake.functions.codes import operation_digit, taxpayer_root
+from invoice_lake.functions.periods import in_years
 from invoice_lake.functions.text import contains_any, first_category, label_override, matches_any
 from invoice_lake.operators.marts import year
 from invoice_lake.operators.matching import join_supplier_presence
@@ -27,7 +28,7 @@ YEAR_LABELS = {2025: "2025 (até 30/09)"}
 
 
 def _in_year(df: DataFrame, only_year: int | None) -> DataFrame:
-    return df if only_year is None else df.filter(F.year("data_emissao") == only_year)
+    return df if only_year is None else df.filter(in_years(F.col("data_emissao"), [only_year]))
 
 
 def value_by_year(invoices: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ def value_by_state(invoices: DataFrame, state: str, only_year: int | None = None
 
 def invoice_counts(invoices: DataFrame, years: Sequence[int]) -> DataFrame:
     """Rows and distinct invoices of the given years."""
-    return invoices.filter(F.year("data_emissao").isin(*years)).agg(
+    return invoices.filter(in_years(F.col("data_emissao"), years)).agg(
         F.count("*").alias("qtd_notas"), F.count_distinct("chave_de_acesso").alias("qtd_notas_distintas")
     )
 

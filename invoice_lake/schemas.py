@@ -124,5 +124,6 @@ PRESENCE_SCHEMA = T.StructType(
     ]
 )
 
-# One product line of one invoice.
-ITEM_KEY = ("chave_de_acesso", "numero", "numero_produto")
+# One product line of one invoice. A number leads: sorts compare it first, and the access keys share
+# long beginnings.
+ITEM_KEY = ("numero", "numero_produto", "chave_de_acesso")

@@ -186,8 +186,8 @@ def normalize_text(spark, sf):
 @register
 def keyword_flags(spark, sf):
     patterns = {f"tem_{word}": word for word in DOCUMENT_WORDS} | marts.KEYWORD_PATTERNS
-    flags = text.word_flags(text.normalize_text(F.col("text")), patterns)
-    return views.table(spark, sf, "documents").select("doc_id", *flags)
+    documents = views.table(spark, sf, "documents").withColumn("texto", text.normalize_text(F.col("text")))
+    return documents.select("doc_id", *text.word_flags(F.col("texto"), patterns))
 
 
 @register
