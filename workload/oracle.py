@@ -149,17 +149,17 @@ _ITEM_FLAGS = ", ".join(
 )
 KEYWORD_MART = f"""palavras AS (
   SELECT ano, codigo_ncm_sh AS ncm, trim(m.tipo) AS tipo_ncm, m.tipo IS NOT NULL AS ncm_mapeada, {_ITEM_FLAGS},
-    descricao_do_produto_servico AS descricao, CAST(SUM(valor_total) AS DOUBLE) AS total
+    descricao_do_produto_servico AS descricao, SUM(valor_total) AS total
   FROM (SELECT *, {NORMALIZED.format(c="descricao_do_produto_servico")} AS d FROM itens) i
     LEFT JOIN mapa_a m ON m.ncm = i.codigo_ncm_sh
   GROUP BY ALL)"""
 KEYWORD_HITS = f"""achados AS (
   SELECT ano, k.chave AS tipo_de_produto, d LIKE '%' || k.chave || '%' AS chave_encontrada, {_ITEM_FLAGS},
-    descricao_do_produto_servico AS descricao, CAST(SUM(valor_total) AS DOUBLE) AS total
+    descricao_do_produto_servico AS descricao, SUM(valor_total) AS total
   FROM (SELECT *, {NORMALIZED.format(c="descricao_do_produto_servico")} AS d FROM itens) i
     LEFT JOIN (VALUES ('widget'), ('gear'), ('re'), ('old')) k(chave) ON i.d LIKE '%' || k.chave || '%'
   GROUP BY ALL)"""
-_KEYWORD_PIVOT = ", ".join(f"SUM(CASE WHEN ano = {y} THEN total END) AS valor_{y}" for y in YEARS)
+_KEYWORD_PIVOT = ", ".join(f"CAST(SUM(CASE WHEN ano = {y} THEN total END) AS DOUBLE) AS valor_{y}" for y in YEARS)
 
 _PCT = "round(CAST(total AS DOUBLE) / CAST({whole} AS DOUBLE), 4)"
 RANK_NCM = f"""totais AS (
@@ -528,7 +528,7 @@ def statements() -> dict[str, str]:
             CHAIN_ITEMS, SUMMARY, "SELECT DISTINCT codigo_cadeia || ' — ' || cadeia AS label, codigo_cadeia AS value FROM resumo"
         ),
         "chain_series": _with_series(CHAIN_ITEMS, SUMMARY, series=_series("resumo", "cadeia", "valor_", "1e9", 9)),
-        "keyword_mart": _with(ITEMS, GROUP_A, KEYWORD_MART, "SELECT * FROM palavras"),
+        "keyword_mart": _with(ITEMS, GROUP_A, KEYWORD_MART, "SELECT * REPLACE (CAST(total AS DOUBLE) AS total) FROM palavras"),
         "keyword_pivot": _with(
             ITEMS, GROUP_A, KEYWORD_MART,
             f"SELECT COALESCE(tipo_ncm, 'Não Mapeado') AS grupo, {_KEYWORD_PIVOT} FROM palavras WHERE widget_encontrado GROUP BY 1",
@@ -539,11 +539,10 @@ def statements() -> dict[str, str]:
             " WHERE ring_encontrado GROUP BY 1)",
             series=_series("por_grupo", "grupo", "valor_", "1e6", 6),
         ),
-        "keyword_hits": _with(ITEMS, KEYWORD_HITS, "SELECT * FROM achados"),
+        "keyword_hits": _with(ITEMS, KEYWORD_HITS, "SELECT * REPLACE (CAST(total AS DOUBLE) AS total) FROM achados"),
         "keyword_hits_ranked": _with(
             ITEMS, KEYWORD_HITS,
-            "z AS (SELECT *, SUM(total) OVER (PARTITION BY ano, tipo_de_produto) AS soma FROM"
-            " (SELECT * REPLACE (CAST(total AS DECIMAL(38,2)) AS total) FROM achados) a)",
+            "z AS (SELECT *, SUM(total) OVER (PARTITION BY ano, tipo_de_produto) AS soma FROM achados)",
             "SELECT * EXCLUDE (soma) REPLACE (CAST(total AS DOUBLE) AS total),"
             " CAST(soma AS DOUBLE) AS total_do_tipo_de_produto,"
             " row_number() OVER (PARTITION BY ano, tipo_de_produto ORDER BY z.total DESC, left(md5(descricao), 3),"
