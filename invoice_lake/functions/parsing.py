@@ -21,13 +21,16 @@ def parse_br_timestamp(text: Column) -> Column:
     its daylight-saving gaps cannot move or drop a value.
     """
     text = F.trim(text)
+    # A text that does not match comes back unchanged; it must not be read as an ISO date.
     iso = F.regexp_replace(text, _BR_TIMESTAMP, "$3-$2-$1$4")
-    return F.when(text.rlike(_BR_TIMESTAMP), iso.try_cast("timestamp_ntz"))
+    return F.when(iso != text, iso.try_cast("timestamp_ntz"))
 
 
 def parse_br_int(text: Column) -> Column:
     """'1.234' -> 1234. A fraction is rounded half up, which a plain cast to bigint would reject."""
-    return F.round(_dotted(text).try_cast("decimal(38,10)"), 0).try_cast("bigint")
+    number = _dotted(text)
+    rounded = F.round(number.try_cast("decimal(38,10)"), 0).try_cast("bigint")
+    return F.coalesce(number.try_cast("bigint"), rounded)
 
 
 def parse_br_decimal(text: Column, keep_sign: bool = False) -> Column:

@@ -15,9 +15,10 @@ from invoice_lake.functions.periods import missing_periods
 from invoice_lake.operators import marts
 from invoice_lake.operators.cleaning import clean_table
 from invoice_lake.operators.matching import chain_items
+from invoice_lake.plans import inquiries
 from invoice_lake.plans.reports import label_cnae
 from invoice_lake.schemas import TABLES
-from invoice_lake.sources import delivery, landing, layers
+from invoice_lake.sources import delivery, landing, layers, mappings
 
 log = logging.getLogger(__name__)
 
@@ -59,17 +60,13 @@ def load_silver(spark: SparkSession, root: str, replace: Sequence[str] = (), **c
     """Clean the bronze periods that silver lacks, and those of ``replace``; returns rows per table."""
     written = {}
     for table in TABLES:
-        bronze = layers.read_table(spark, root, "bronze", table)
-        if bronze is None:
-            continue
         present = layers.loaded_periods(spark, root, "silver", table)
-        new = missing_periods(bronze.select("periodo").distinct(), present)
+        new = missing_periods(layers.loaded_periods(spark, root, "bronze", table), present)
         periods = sorted({row.periodo for row in new.collect()} | set(replace))
         if not periods:
             log.info("silver %s is up to date", table)
             continue
-        # The list of months prunes the partitions of the scan.
-        chosen = bronze.filter(F.col("periodo").isin(*periods))
+        chosen = layers.read_periods(spark, root, "bronze", table, periods)
         # Removing duplicates mixes the periods, so a run over several sorts them out again.
         written[table] = layers.write_periods(
             clean_table(chosen, table, **cleaning), root, "silver", table, rebalance=len(periods) > 1
@@ -79,8 +76,8 @@ def load_silver(spark: SparkSession, root: str, replace: Sequence[str] = (), **c
 
 
 def item_years(items: DataFrame) -> list[int]:
-    """Years of the items, found from the periods, not from every row's date."""
-    years = items.select(F.substring("periodo", 1, 4).cast("int").alias("ano")).distinct().collect()
+    """Years in which items were issued: one pass over the date column."""
+    years = items.select(F.year("data_emissao").alias("ano")).distinct().collect()
     return sorted(row.ano for row in years if row.ano is not None)
 
 
@@ -128,17 +125,29 @@ def build_gold(
     tables = gold_tables(items, group_a, years)
     if chain_map is not None:
         tables |= chain_tables(spark, root, items, chain_map, years)
+    return publish(spark, root, tables)
+
+
+def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Write reports as gold tables, and from those as CSV deliverables; returns rows per report."""
     written = {}
     for name, table in tables.items():
         written[name] = layers.write_table(table, root, "gold", name)
         log.info("gold %s: %d rows", name, written[name])
-    deliver(spark, root, list(tables))
+        stored = layers.read_table(spark, root, "gold", name)
+        delivery.write_regional_csv(stored, layers.table_path(root, "entrega", f"{name}.csv"))
+        delivery.write_plain_csv(stored, layers.table_path(root, "entrega", f"{name}_utf8.csv"))
     return written
 
 
-def deliver(spark: SparkSession, root: str, names: Sequence[str]) -> None:
-    """CSV deliverables of the marts, from the tables as written."""
-    for name in names:
-        table = layers.read_table(spark, root, "gold", name)
-        delivery.write_regional_csv(table, layers.table_path(root, "entrega", f"{name}.csv"))
-        delivery.write_plain_csv(table, layers.table_path(root, "entrega", f"{name}_utf8.csv"))
+def item_reports(spark: SparkSession, items: DataFrame, group_a: DataFrame) -> dict[str, DataFrame]:
+    """Further reports over the silver items, ready to ``publish``."""
+    words, needles = mappings.keywords()
+    ranked = marts.ranked_by_code(items)
+    return {
+        "aco_totais_por_grupo_e_orgao": marts.buyers_by_code_group(items, mappings.steel_groups(spark)),
+        "totais_com_agregacao_das_descricoes": ranked,
+        "totais_palavras_chave": inquiries.keyword_rows(ranked),
+        "totais_por_tipo": marts.ranked_by_type(items, group_a),
+        "totais_por_palavra_chave": marts.ranked_keyword_hits(marts.keyword_hits(items, words, needles)),
+    }

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyarrow import fs as arrow_fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,7 +66,7 @@ def with_periods(files: DataFrame) -> DataFrame:
     )
 
 
-def classify_member(name: T.StringType):
+def classify_member(name: Column) -> Column:
     """Table of a member, by its name: item, evento, or else nf."""
     lowered = F.lower(name)
     return (
@@ -193,5 +193,9 @@ def _copy_member(archive_path: str, member: str, target: str) -> tuple[str, int]
         with archive.open(member) as data, system.open_output_stream(partial) as out:
             shutil.copyfileobj(data, out, _COPY_BYTES)
         size = archive.getinfo(member).file_size
+    earlier = system.get_file_info(plain)
+    if earlier.type == arrow_fs.FileType.File:
+        # An earlier attempt or delivery; some file systems do not rename onto a file.
+        system.delete_file(plain)
     system.move(partial, plain)
     return header, size

@@ -97,6 +97,13 @@ def test_bronze_to_gold(spark, places, make_chains):
     assert counts["resumo_grupo_a"] == 1 and counts["resumo_cadeia"] == 2 and counts["cnae_cadeia"] == 2
     pivot = layers.read_table(spark, root, "gold", "resumo_grupo_a").first()
     assert (pivot["tipo"], pivot["Valor Total 2024"], pivot["Notas Distintas 2024"]) == ("Etileno", 1005.0, 2)
+    reports = lake.item_reports(spark, layers.read_table(spark, root, "silver", "itens").withColumns(
+        {"cnpj_destinatario": F.lit(1), "nome_destinatario": F.lit("x")}
+    ), mappings.group_a(spark))
+    assert lake.publish(spark, root, reports) == {
+        "aco_totais_por_grupo_e_orgao": 1, "totais_com_agregacao_das_descricoes": 2, "totais_palavras_chave": 2,
+        "totais_por_tipo": 1, "totais_por_palavra_chave": 1,
+    }
     summary = spark.read.options(sep=";", header=True, encoding="ISO-8859-1").csv(
         layers.table_path(root, "entrega", "resumo_grupo_a.csv")
     )
@@ -118,7 +125,7 @@ def test_months_with_other_columns(spark, places):
         archive.writestr("Evento.csv", "CHAVE DE ACESSO;EVENTO\nB;x\n")
         archive.writestr("NF.csv", "CHAVE DE ACESSO;VALOR NOTA FISCAL\nB;1\n")
     assert lake.load_bronze(spark, str(folder), root, staging) == ["2024-07"]
-    rows = layers.read_table(spark, root, "bronze", "itens").collect()
+    rows = layers.read_table(spark, root, "bronze", "itens", merge_columns=True).collect()
     assert sorted((r["CHAVE DE ACESSO"], r["NOVA"], r["CFOP"]) for r in rows) == [("A", None, "5102"), ("B", "x", None)]
 
 
