@@ -30,7 +30,8 @@ def parse_br_int(text: Column) -> Column:
     """'1.234' -> 1234. A fraction is rounded half up, which a plain cast to bigint would reject."""
     number = _dotted(text)
     rounded = F.round(number.try_cast("decimal(38,10)"), 0).try_cast("bigint")
-    return F.coalesce(number.try_cast("bigint"), rounded)
+    # A failing decimal cast is slow, so only texts with a fraction or an exponent try it.
+    return F.coalesce(number.try_cast("bigint"), F.when(number.rlike("[.eE]"), rounded))
 
 
 def parse_br_decimal(text: Column, keep_sign: bool = False) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,7 +82,7 @@ def keywords() -> tuple[list[str], list[str]]:
 
 def normalized_keyword(word: str) -> str:
     """Trimmed, lower case, hyphens to spaces: ``functions.text.normalize_keyword`` for a Python string."""
-    return " ".join(word.strip().lower().replace("-", " ").split())
+    return re.sub(r"[\t\n\f\r ]+", " ", word.strip().lower().replace("-", " "), count=1)
 
 
 def read_group_a(spark: SparkSession, path: str) -> DataFrame:

@@ -257,30 +257,32 @@ def dup_keys(spark, sf):
 # --- joins -------------------------------------------------------------------------------------
 
 
-def _by_type(joined: DataFrame) -> DataFrame:
-    return plain(
-        joined.groupBy("tipo", F.col("tipo").isNotNull().alias("mapeada"))
-        .agg(F.count("*").alias("n"), F.sum("valor_total").alias("valor"))
-    )
+def _per_code(spark, sf):
+    """Items summed per code, so that a very frequent code is one row in the joins."""
+    lines = views.items(spark, sf, "codigo_ncm_sh", "valor_total")
+    return lines.groupBy("codigo_ncm_sh").agg(F.count("*").alias("n"), F.sum("valor_total").alias("valor"))
+
+
+def _sums(joined: DataFrame, *keys) -> DataFrame:
+    return plain(joined.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("valor").alias("valor")))
 
 
 @register
 def join_ncm_exact(spark, sf):
-    lines = views.items(spark, sf, "codigo_ncm_sh", "valor_total")
-    return _by_type(matching.join_codes(lines, views.group_a(spark, sf)))
+    joined = matching.join_codes(_per_code(spark, sf), views.group_a(spark, sf))
+    return _sums(joined, "tipo", F.col("tipo").isNotNull().alias("mapeada"))
 
 
 @register
 def join_ncm_left(spark, sf):
-    lines = views.items(spark, sf, "codigo_ncm_sh", "valor_total")
-    return _by_type(matching.join_codes(lines, views.group_a(spark, sf), "left"))
+    joined = matching.join_codes(_per_code(spark, sf), views.group_a(spark, sf), "left")
+    return _sums(joined, "tipo", F.col("tipo").isNotNull().alias("mapeada"))
 
 
 @register
 def join_prefix_any(spark, sf):
-    lines = views.items(spark, sf, "codigo_ncm_sh", "valor_total")
-    joined = matching.join_any_prefix(lines, views.code_groups(spark, sf))
-    return plain(joined.groupBy("ncm_cod", "grupo").agg(F.count("*").alias("n"), F.sum("valor_total").alias("valor")))
+    joined = matching.join_any_prefix(_per_code(spark, sf), views.code_groups(spark, sf))
+    return _sums(joined, "ncm_cod", "grupo")
 
 
 def _chain_items(spark, sf, *dedup):
