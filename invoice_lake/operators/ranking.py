@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
+_LAST_BAND = -(2**62)  # rows without a value rank last
 
 
 def rank_in_groups(
@@ -43,7 +44,7 @@ def rank_in_groups(
     hot = F.col("_hot").isNotNull()
     sliced = flagged.withColumn("_tie", tie_hash(ties)).withColumns(
         {
-            "_band": F.when(hot, F.coalesce(_band(F.col(value)), F.lit(float("-inf")))),
+            "_band": F.when(hot, F.coalesce(_band(F.col(value)), F.lit(_LAST_BAND))),
             "_level": F.when(hot, F.coalesce(F.col(value).cast("string"), F.lit(""))),
             "_slice": F.when(hot, F.col("_tie")),
         }
@@ -83,7 +84,7 @@ def tie_hash(ties: Sequence[str]) -> Column:
 def _band(value: Column) -> Column:
     """Logarithmic value band: never falls as the value rises, and about 0.05 % of a value wide."""
     number = value.cast("double")
-    return F.signum(number) * F.floor(F.log1p(F.abs(number)) * 2000)
+    return (F.signum(number) * F.floor(F.log1p(F.abs(number)) * 2000)).cast("bigint")
 
 
 def _rows_before(hot: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
