@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from invoice_lake.functions.codes import supplier_id
 from invoice_lake.functions.periods import in_years
@@ -67,18 +68,31 @@ def _year_values(years: Sequence[int]) -> list[Column]:
 # --- product types (exact codes) ---------------------------------------------------------------
 
 
+def _per_invoice(items: DataFrame, *keys: str) -> DataFrame:
+    """Value per keys, year, invoice and supplier: distinct counts then expand invoices, not items."""
+    return items.groupBy(*keys, year().alias("ano"), "chave_de_acesso", supplier_id().alias("_fornecedor")).agg(
+        F.sum("valor_total").alias("_valor")
+    )
+
+
+def _distinct_totals(items: DataFrame) -> list[Column]:
+    value = items.schema["valor_total"].dataType
+    money = f"decimal({min(value.precision + 10, 38)},{value.scale})" if isinstance(value, T.DecimalType) else "double"
+    return [
+        F.sum("_valor").cast(money).alias("valor_total"),
+        F.count_distinct("_fornecedor").alias("fornecedores_distintos"),
+        F.count_distinct("chave_de_acesso").alias("notas_distintas"),
+    ]
+
+
 def type_year_totals(items: DataFrame, mapping: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
     """Value, distinct suppliers and distinct invoices per product type and year."""
     if years is not None:
         items = items.filter(in_years(F.col("data_emissao"), years))
     return (
-        join_codes(items, mapping)
-        .groupBy("tipo", year().alias("ano"))
-        .agg(
-            F.sum("valor_total").alias("valor_total"),
-            F.count_distinct(supplier_id()).alias("fornecedores_distintos"),
-            F.count_distinct("chave_de_acesso").alias("notas_distintas"),
-        )
+        _per_invoice(join_codes(items, mapping), "tipo")
+        .groupBy("tipo", "ano")
+        .agg(*_distinct_totals(items))
     )
 
 
@@ -115,13 +129,9 @@ def type_totals_by_year(items: DataFrame, mapping: DataFrame, years: Sequence[in
     # Semi join: an item counts once, whatever number of types its code has.
     codes = code_map(mapping).select(F.col("ncm").alias("codigo_ncm_sh")).distinct()
     return (
-        items.join(codes, "codigo_ncm_sh", "left_semi")
-        .groupBy(year().alias("ano"))
-        .agg(
-            F.sum("valor_total").alias("valor_total"),
-            F.count_distinct(supplier_id()).alias("fornecedores_distintos"),
-            F.count_distinct("chave_de_acesso").alias("notas_distintas"),
-        )
+        _per_invoice(items.join(codes, "codigo_ncm_sh", "left_semi"))
+        .groupBy("ano")
+        .agg(*_distinct_totals(items))
     )
 
 
@@ -146,25 +156,37 @@ def items_by_code(items: DataFrame, mapping: DataFrame, only_year: int | None =
 
 
 def chain_summary(chain_items: DataFrame, years: Sequence[int], focus_year: int) -> DataFrame:
-    """One row per chain: value, suppliers, items, the same for ``focus_year``, value per year."""
+    """One row per chain: value, suppliers, items, the same for ``focus_year``, value per year.
+
+    The items are added up per chain and supplier first, so that distinct suppliers are plain counts.
+    """
     focused = F.year("data_emissao") == focus_year
+    value = chain_items.schema["valor_total"].dataType
+    money = f"decimal({min(value.precision + 10, 38)},{value.scale})" if isinstance(value, T.DecimalType) else "double"
+    names = [f"valor_{y}" for y in years]
+    per_supplier = chain_items.groupBy(*CHAIN_KEY, supplier_id().alias("_fornecedor")).agg(
+        F.sum("valor_total").alias("_valor"),
+        F.count("*").alias("_itens"),
+        F.count(F.when(focused, F.lit(1))).alias("_itens_foco"),
+        *_year_values(years),
+    )
     return (
-        chain_items.groupBy(*CHAIN_KEY)
+        per_supplier.groupBy(*CHAIN_KEY)
         .agg(
-            F.sum("valor_total").alias("valor_total_adquirido"),
-            F.count_distinct(supplier_id()).alias("fornecedores_distintos"),
-            F.count("*").alias("quantidade_itens"),
-            F.count_distinct(F.when(focused, supplier_id())).alias(f"fornecedores_{focus_year}"),
-            F.count(F.when(focused, F.lit(1))).alias(f"quantidade_itens_{focus_year}"),
-            *_year_values(years),
+            F.sum("_valor").cast(money).alias("valor_total_adquirido"),
+            F.count("_fornecedor").alias("fornecedores_distintos"),
+            F.sum("_itens").alias("quantidade_itens"),
+            F.count(F.when(F.col("_itens_foco") > 0, F.col("_fornecedor"))).alias(f"fornecedores_{focus_year}"),
+            F.sum("_itens_foco").alias(f"quantidade_itens_{focus_year}"),
+            *[F.sum(name).cast(money).alias(name) for name in names],
         )
         .orderBy(F.desc_nulls_last("valor_total_adquirido"), "codigo_cadeia")
     )
 
 
-def chain_detail(chain_items: DataFrame, years: Sequence[int], limit: int = 2000) -> DataFrame:
-    """The ``limit`` largest groups of chain, CNAE, code and description."""
-    return (
+def chain_detail(chain_items: DataFrame, years: Sequence[int], limit: int | None = 2000) -> DataFrame:
+    """The ``limit`` largest groups of chain, CNAE, code and description; all of them for None."""
+    groups = (
         chain_items.groupBy(*DETAIL_KEY)
         .agg(
             F.sum("valor_total").alias("valor_total"),
@@ -174,8 +196,8 @@ def chain_detail(chain_items: DataFrame, years: Sequence[int], limit: int = 2000
             *_year_values(years),
         )
         .orderBy(F.desc_nulls_last("valor_total"), *[F.asc_nulls_last(c) for c in DETAIL_KEY])
-        .limit(limit)
     )
+    return groups if limit is None else groups.limit(limit)
 
 
 def chain_by_cnae(chain_items: DataFrame, years: Sequence[int]) -> DataFrame:

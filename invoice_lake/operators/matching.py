@@ -75,39 +75,33 @@ def join_any_prefix(
     return items.join(match_any_prefix(items, mapping, code, prefix, lengths), code, "left")
 
 
-def match_chains(items: DataFrame, prefixes: DataFrame, code: str = "codigo_ncm_sh") -> DataFrame:
-    """Inner join on left(code, tamanho_prefixo) = prefixo_sh.
+def match_chains(codes: DataFrame, prefixes: DataFrame, code: str = "codigo_ncm_sh") -> DataFrame:
+    """Distinct codes with the prefixes that they begin with, of any length that the mapping has.
 
-    Every item looks up the cuts of its code, one to eight digits, by equality. With a mapping that
-    Spark broadcasts (mappings are edited by hand) no item is shuffled.
+    Only distinct codes are cut, of which there are some thousands, however many items there are.
     """
-    lengths = F.explode(F.sequence(F.lit(1), F.lit(8))).alias("tamanho_prefixo")
-    cuts = items.select("*", lengths).withColumn(
+    lengths = F.explode(F.sequence(F.lit(1), F.length(code))).alias("tamanho_prefixo")
+    cuts = codes.filter(F.length(code) > 0).select(code).distinct().select(code, lengths).withColumn(
         "prefixo_sh", F.substring(F.col(code), F.lit(1), F.col("tamanho_prefixo"))
     )
     return cuts.join(prefixes, ["prefixo_sh", "tamanho_prefixo"])
 
 
-def match_chains_by_code(items: DataFrame, prefixes: DataFrame, code: str = "codigo_ncm_sh") -> DataFrame:
-    """``match_chains`` for a mapping too large to broadcast: the distinct codes are matched, and the
-    items join the matched codes. It scans the codes twice but never multiplies unmatched items."""
-    return items.join(match_chains(items.select(code).distinct(), prefixes, code), code)
-
-
 def chain_items(
     items: DataFrame,
     chain_map: DataFrame,
     years: Sequence[int],
     dedup: Sequence[str] = ("codigo_cadeia",),
-    large_map: bool = False,
 ) -> DataFrame:
     """Items of the given years with their production chains, each item at most once per chain.
 
-    An item that meets a chain through several prefixes keeps the longest one. ``dedup`` names the
+    A code that meets a chain through several prefixes keeps the longest one. ``dedup`` names the
     chain columns within which an item may stand once. Reports by CNAE need ("codigo_cadeia",
     "cnae"), or an item of a chain would count for one of its CNAEs only.
 
-    The items pass the shuffle with the prefix they matched; the chain's attributes join afterwards.
+    Prefixes are resolved per distinct code; the items join the result, and only repeated item keys
+    are left to remove. The items pass that shuffle with the prefix they matched; the chain's
+    attributes join afterwards.
     """
     prefix = ["prefixo_sh", "tamanho_prefixo"]
     attributes = [c for c in CHAIN_COLUMNS if c in chain_map.columns]
@@ -115,11 +109,14 @@ def chain_items(
     # Of the rows with one prefix and chain, the choice is arbitrary; make it repeatable.
     rows = first_per(rows, [*prefix, *dedup], [F.asc_nulls_last(c) for c in sorted(attributes)])
 
+    code = "codigo_ncm_sh"
     in_years = items.filter(_in_years(F.col("data_emissao"), years))
-    match = match_chains_by_code if large_map else match_chains
-    matched = match(in_years, rows.select(*prefix, *dedup))
+    found = first_per(
+        match_chains(in_years, rows.select(*prefix, *dedup), code), [code, *dedup],
+        [F.desc("tamanho_prefixo"), "prefixo_sh"])
     rest = [F.asc_nulls_last(c) for c in sorted(set(items.columns) - set(ITEM_KEY))]
-    once = first_per(matched, [*ITEM_KEY, *dedup], [F.desc("tamanho_prefixo"), "prefixo_sh", *rest])
+    once = first_per(
+        in_years.join(found, code), [*ITEM_KEY, *dedup], [F.desc("tamanho_prefixo"), "prefixo_sh", *rest])
     # An unset chain column such as the CNAE is a value of its own here.
     keys = [*prefix, *dedup]
     renamed = rows.withColumnsRenamed({name: f"_map_{name}" for name in keys})

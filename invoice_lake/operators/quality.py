@@ -17,6 +17,14 @@ def repeated_keys(df: DataFrame, key: str = "chave_de_acesso", value: str = "val
     )
 
 
+def repeated_rows_by(df: DataFrame, by: str) -> DataFrame:
+    """Rows before and after full-row deduplication per value of ``by``, in one pass."""
+    return (
+        df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+        .groupBy(by).agg(F.sum("_n").alias("n_antes"), F.count("*").alias("n_depois"))
+    )
+
+
 def count_repeated_keys(df: DataFrame, key: str = "chave_de_acesso") -> DataFrame:
     repeated = df.groupBy(key).agg(F.count("*").alias("registros")).filter("registros > 1")
     return repeated.agg(F.count("*").alias("chaves_repetidas"))

@@ -8,10 +8,10 @@ from tests.conftest import column, plan
 YEARS = (2022, 2023, 2024, 2025)
 
 
-@pytest.fixture(params=[False, True], ids=["per item", "per code"])
-def chained(request):
+@pytest.fixture
+def chained():
     def build(items, chains, **options):
-        return matching.chain_items(items, chains, YEARS, large_map=request.param, **options)
+        return matching.chain_items(items, chains, YEARS, **options)
 
     return build
 

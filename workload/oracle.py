@@ -200,6 +200,7 @@ CALENDAR = """calendario AS (
     INTERVAL 1 MONTH)) AS mes FROM lineitem) m)"""
 
 # Patterns of the published keyword flags, as column name and pattern.
+# Fixed values.
 _PUBLISHED_FLAGS = (
     ("polietileno_encontrado", "polietileno"),
     ("policloreto de vinila_encontrado", "policloreto de vinila"),
@@ -520,7 +521,7 @@ def statements() -> dict[str, str]:
             " FROM resumo WHERE codigo_cadeia = 'C1'",
         ),
         "chain_table_filtered": _with(
-            CHAIN_ITEMS, DETAIL,
+            CHAIN_ITEMS, DETAIL.replace(" LIMIT 2000)", ")"),
             "SELECT codigo_cadeia, cnae, codigo_ncm_sh, descricao_do_produto_servico, valor_total FROM detalhe"
             " WHERE codigo_cadeia = 'C1'",
         ),

@@ -161,8 +161,7 @@ def exclude_keys(spark, sf):
 @register
 def dedup_rows(spark, sf):
     lines = views.items(spark, sf, "chave_de_acesso", "numero_produto", "periodo")
-    before = month_counts(lines, "n_antes")
-    return before.join(month_counts(cleaning.drop_repeated_rows(lines), "n_depois"), "periodo")
+    return quality.repeated_rows_by(lines, "periodo")
 
 
 @register
@@ -491,8 +490,8 @@ def kpi_chain(spark, sf):
 
 @register
 def chain_table_filtered(spark, sf):
-    detail = marts.chain_detail(_chain_items(spark, sf), YEARS)
-    table = reports.chain_table(detail, "valor_total", "C1")
+    one = _chain_items(spark, sf).filter("codigo_cadeia = 'C1'")
+    table = reports.chain_table(marts.chain_detail(one, YEARS, limit=None), "valor_total")
     return plain(table.select("codigo_cadeia", "cnae", "codigo_ncm_sh", "descricao_do_produto_servico", "valor_total"))
 
 
