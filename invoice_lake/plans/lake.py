@@ -6,12 +6,12 @@ Every job handles all new periods at once and can be run again at any time.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoice_lake.functions.periods import missing_periods
 from invoice_lake.operators import marts
 from invoice_lake.operators.cleaning import clean_table
 from invoice_lake.operators.matching import chain_items
@@ -25,51 +25,67 @@ log = logging.getLogger(__name__)
 
 def load_bronze(
     spark: SparkSession, landing_dir: str, root: str, staging: str, replace: bool = False,
-    only: Sequence[str] | None = None, multi_line: bool = False,
+    only: Sequence[str] | None = None,
 ) -> list[str]:
     """Load the archives of periods bronze lacks; returns those periods.
 
     ``replace`` loads periods again that are there already, ``only`` restricts the periods looked
-    at. Archives without exactly one file per table are noted in bronze/rejeitados and left out.
+    at. Archives without exactly one file per table, and records with a wrong number of fields, are
+    noted in bronze/rejeitados, once however often the job runs. The rows written must be as many as
+    the records staged. A period counts as loaded when it stands in bronze/carregados.
     """
+    landing_dir, root, staging = (layers.qualified(spark, path) for path in (landing_dir, root, staging))
     archives = landing.list_archives(spark, landing_dir)
     if only is not None:
         archives = archives.filter(F.col("periodo").isin(*only))
     if not replace:
-        archives = archives.join(layers.loaded_periods(spark, root, "bronze", "itens"), "periodo", "left_anti")
+        archives = archives.join(layers.loaded_periods(spark, root, "bronze", "carregados"), "periodo", "left_anti")
     members, rejects = landing.split_members(landing.list_members(archives).collect())
     if rejects:
-        rejected = spark.createDataFrame(rejects)
-        rejected.write.mode("append").parquet(layers.table_path(root, "bronze", "rejeitados"))
+        noted = spark.createDataFrame([(r.periodo, r.archive, r.motivo, None, None) for r in rejects], landing.REJECT_SCHEMA)
+        layers.write_periods(noted, root, "bronze", "rejeitados")
         for row in rejects:
             log.error("%s: %s", row.periodo, row.motivo)
     if not members:
         log.info("bronze is up to date")
         return []
-    staged = landing.unpack(spark, members, staging)
-    # The items go last: they are what marks a period as loaded.
-    for table in sorted(TABLES, key=lambda name: name == "itens"):
+    periods = sorted({row.periodo for row in members})
+    own = f"{staging.rstrip('/')}/{uuid.uuid4().hex}"
+    staged = landing.unpack(spark, members, own)
+    layers.write_periods(landing.read_rejects(spark, own), root, "bronze", "rejeitados", periods=periods)
+    for table in TABLES:
         rows = layers.write_periods(
-            landing.read_staged(spark, staged, staging, table, multi_line), root, "bronze", table
+            landing.read_staged(spark, staged, own, table), root, "bronze", table, periods=periods
         )
+        expected = sum(row.records for row in staged if row.tabela == table)
+        if rows != expected:
+            layers.clear_periods(spark, root, "bronze", table, periods)
+            raise RuntimeError(f"bronze {table}: {expected} records staged, {rows} rows read")
         log.info("bronze %s: %d rows", table, rows)
-    return sorted({row.periodo for row in members})
+    done = spark.createDataFrame([(row.periodo, row.archive) for row in members], "periodo string, archive string").distinct()
+    layers.write_periods(done, root, "bronze", "carregados")
+    layers.delete_folder(spark, own)
+    return periods
 
 
 def load_silver(spark: SparkSession, root: str, replace: Sequence[str] = (), **cleaning) -> dict[str, int]:
-    """Clean the bronze periods that silver lacks, and those of ``replace``; returns rows per table."""
+    """Clean the bronze periods that silver lacks, and those of ``replace``; returns rows per table.
+
+    A period of ``replace`` without rows in bronze is emptied in silver.
+    """
     written = {}
     for table in TABLES:
-        present = layers.loaded_periods(spark, root, "silver", table)
-        new = missing_periods(layers.loaded_periods(spark, root, "bronze", table), present)
-        periods = sorted({row.periodo for row in new.collect()} | set(replace))
+        in_bronze = {row.periodo for row in layers.loaded_periods(spark, root, "bronze", table).collect()}
+        in_silver = {row.periodo for row in layers.loaded_periods(spark, root, "silver", table).collect()}
+        layers.clear_periods(spark, root, "silver", table, sorted((set(replace) & in_silver) - in_bronze))
+        periods = sorted((in_bronze - in_silver) | (set(replace) & in_bronze))
         if not periods:
             log.info("silver %s is up to date", table)
             continue
         chosen = layers.read_periods(spark, root, "bronze", table, periods)
         # Removing duplicates mixes the periods, so a run over several sorts them out again.
         written[table] = layers.write_periods(
-            clean_table(chosen, table, **cleaning), root, "silver", table, rebalance=len(periods) > 1
+            clean_table(chosen, table, **cleaning), root, "silver", table, rebalance=len(periods) > 1, periods=periods
         )
         log.info("silver %s: %d rows", table, written[table])
     return written
@@ -118,7 +134,7 @@ def build_gold(
     years: Sequence[int] | None = None,
 ) -> dict[str, int]:
     """Write the marts and their CSV deliverables from silver; returns rows per mart."""
-    items = layers.read_table(spark, root, "silver", "itens")
+    items = layers.read_table(spark, root, "silver", "itens", schema=layers.silver_schema("itens"))
     if items is None:
         return {}
     years = list(years) if years is not None else item_years(items)

@@ -1,15 +1,17 @@
 """Monthly zip archives with three delimited files each.
 
-Executors list and unpack the archives, one task per member, streaming from the archive to a
-staging folder; Spark's own CSV reader, which can split large files, takes it from there. Only
-file names, headers and sizes reach the driver. A task that is repeated writes the same file again
-under the same name.
+Executors list and unpack the archives, one task per member, streaming record by record from the
+archive to a staging folder. Staged records end with a character of their own, so that line breaks
+inside quotes stay and Spark's CSV reader can still split large files. Records with a field too many
+or too few go to a file of rejects beside them. Only file names, headers and counts reach the driver.
+A task that is repeated writes the same files again under the same names.
 """
 
 from __future__ import annotations
 
 import csv
-import shutil
+import io
+import json
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -29,10 +31,12 @@ from invoice_lake.sources.layers import append_periods
 ARCHIVE_GLOB = "[0-9][0-9][0-9][0-9][0-9][0-9]*"
 ENCODING = "ISO-8859-1"
 MEMBERS_PER_ARCHIVE = 3
-_COPY_BYTES = 8 << 20
+RECORD_END = "\x1e"
+MAX_FIELD = 64 << 20
 
 MEMBER_SCHEMA = "periodo string, archive string, member string, n_members int"
-STAGED_SCHEMA = "periodo string, tabela string, path string, header string, bytes long"
+STAGED_SCHEMA = "periodo string, tabela string, path string, header string, records long, rejected long"
+REJECT_SCHEMA = "periodo string, archive string, motivo string, registro long, texto string"
 
 
 def list_archives(spark: SparkSession, landing: str) -> DataFrame:
@@ -113,37 +117,42 @@ def split_members(members: list[Row]) -> tuple[list[Row], list[Row]]:
 
 
 def unpack(spark: SparkSession, members: list[Row], staging: str) -> list[Row]:
-    """Copy the members to <staging>/<table>/periodo=YYYY-MM/; returns path, header and size of each."""
-    rows = [(m.periodo, m.archive, m.member, m.tabela) for m in members]
-    todo = spark.createDataFrame(rows, "periodo string, archive string, member string, tabela string")
+    """Copy the members to <staging>/<table>/periodo=YYYY-MM/; returns path, header and counts of each."""
+    rows = [(i, m.periodo, m.archive, m.member, m.tabela) for i, m in enumerate(members)]
+    todo = spark.createDataFrame(rows, "n int, periodo string, archive string, member string, tabela string")
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
                 name = row.member.rsplit("/", 1)[-1]
-                target = f"{staging.rstrip('/')}/{row.tabela}/periodo={row.periodo}/{name}"
-                header, size = _copy_member(row.archive, row.member, target)
+                folder = f"{staging.rstrip('/')}/{row.tabela}/periodo={row.periodo}"
+                rejects = f"{staging.rstrip('/')}/rejeitados/periodo={row.periodo}"
+                header, records, rejected = _copy_member(row, f"{folder}/{name}", f"{rejects}/{row.tabela}-{name}.json")
                 yield pd.DataFrame(
-                    [(row.periodo, row.tabela, target, header, size)],
-                    columns=["periodo", "tabela", "path", "header", "bytes"],
+                    [(row.periodo, row.tabela, f"{folder}/{name}", header, records, rejected)],
+                    columns=["periodo", "tabela", "path", "header", "records", "rejected"],
                 )
 
-    # A fixed number of partitions: the rows are tiny, their work is not.
-    return todo.repartition(max(1, len(rows))).mapInPandas(copy, STAGED_SCHEMA).collect()
+    # One partition per row: the rows are tiny, their work is not.
+    return todo.repartitionById(max(1, len(rows)), "n").mapInPandas(copy, STAGED_SCHEMA).collect()
 
 
-def read_staged(spark: SparkSession, staged: list[Row], staging: str, table: str, multi_line: bool = False) -> DataFrame:
+def read_rejects(spark: SparkSession, staging: str) -> DataFrame:
+    """Records that the staged files leave out, with their text."""
+    return spark.read.schema(REJECT_SCHEMA).json(f"{staging.rstrip('/')}/rejeitados")
+
+
+def read_staged(spark: SparkSession, staged: list[Row], staging: str, table: str) -> DataFrame:
     """Staged files of one table as text columns plus ``periodo``.
 
     Files with the same header are one scan; months with other headers are matched by column name.
-    ``multi_line`` allows line breaks inside quotes, at the price of unsplittable files.
     """
     by_header: dict[str, list[str]] = {}
     for row in staged:
         if row.tabela == table:
             by_header.setdefault(row.header, []).append(row.path)
     scans = [
-        read_delimited(spark, paths, header_columns(header), f"{staging.rstrip('/')}/{table}", multi_line)
+        read_delimited(spark, paths, header_columns(header), f"{staging.rstrip('/')}/{table}", RECORD_END)
         for header, paths in sorted(by_header.items())
     ]
     return append_periods(scans)
@@ -154,16 +163,14 @@ def header_columns(header: str) -> list[str]:
 
 
 def read_delimited(
-    spark: SparkSession, paths: list[str], columns: list[str], base_path: str, multi_line: bool = False
+    spark: SparkSession, paths: list[str], columns: list[str], base_path: str, record_end: str | None = None
 ) -> DataFrame:
     """Semicolon-separated Latin-1 files with a header, every column text, empty fields NULL."""
     fields = [T.StructField(name, T.StringType()) for name in (*columns, "periodo")]
-    raw = (
-        spark.read.schema(T.StructType(fields))
-        .options(sep=";", encoding=ENCODING, header=True, quote='"', escape='"', multiLine=multi_line)
-        .option("basePath", base_path)
-        .csv(paths)
-    )
+    reader = spark.read.schema(T.StructType(fields)).options(sep=";", encoding=ENCODING, header=True, quote='"', escape='"')
+    if record_end is not None:
+        reader = reader.option("lineSep", record_end)
+    raw = reader.option("basePath", base_path).csv(paths)
     return raw.select(*[F.nullif(F.col(f"`{name}`"), F.lit("")).alias(name) for name in raw.columns])
 
 
@@ -181,21 +188,57 @@ def _open(path: str):
     return system.open_input_file(plain)
 
 
-def _copy_member(archive_path: str, member: str, target: str) -> tuple[str, int]:
-    """Stream one member to ``target``. The file appears under its name only when it is whole."""
-    system, plain = _file_system(target)
-    folder, name = plain.rsplit("/", 1)
-    system.create_dir(folder, recursive=True)
-    partial = f"{folder}/_{name}.{uuid.uuid4().hex}"
-    with _open(archive_path) as source, zipfile.ZipFile(source) as archive:
-        with archive.open(member) as data:
-            header = data.readline().decode(ENCODING).rstrip("\r\n")
-        with archive.open(member) as data, system.open_output_stream(partial) as out:
-            shutil.copyfileobj(data, out, _COPY_BYTES)
-        size = archive.getinfo(member).file_size
-    earlier = system.get_file_info(plain)
-    if earlier.type == arrow_fs.FileType.File:
-        # An earlier attempt or delivery; some file systems do not rename onto a file.
-        system.delete_file(plain)
-    system.move(partial, plain)
-    return header, size
+def _copy_member(row, target: str, rejects: str) -> tuple[str, int, int]:
+    """Stream the records of one member to ``target``; returns its header and the records kept and rejected.
+
+    Both files appear under their names only when they are whole.
+    """
+    csv.field_size_limit(MAX_FIELD)
+    kept = rejected = 0
+    header: list[str] | None = None
+    with _open(row.archive) as source, zipfile.ZipFile(source) as archive, archive.open(row.member) as data:
+        records = csv.reader(io.TextIOWrapper(data, ENCODING, newline=""), delimiter=";")
+        with _writing(target) as out, _writing(rejects) as left:
+            writer = csv.writer(out, delimiter=";", lineterminator=RECORD_END)
+            for fields in records:
+                if not fields:
+                    continue
+                if header is None:
+                    header = fields
+                    writer.writerow(fields)
+                elif len(fields) == len(header) and not any(RECORD_END in f for f in fields):
+                    kept += 1
+                    writer.writerow(fields)
+                else:
+                    rejected += 1
+                    reason = f"{row.tabela}: expected {len(header)} fields, found {len(fields)}"
+                    if len(fields) == len(header):
+                        reason = f"{row.tabela}: a field holds the record separator"
+                    left.write(json.dumps({
+                        "periodo": row.periodo, "archive": row.archive, "motivo": reason,
+                        "registro": kept + rejected, "texto": ";".join(fields)}) + "\n")
+    names = io.StringIO()
+    csv.writer(names, delimiter=";", lineterminator="").writerow(header or [])
+    return names.getvalue(), kept, rejected
+
+
+class _writing:
+    """A text file of the archives' encoding that gets its name when it is closed without an error."""
+
+    def __init__(self, target: str):
+        self.system, self.plain = _file_system(target)
+        folder, name = self.plain.rsplit("/", 1)
+        self.system.create_dir(folder, recursive=True)
+        self.partial = f"{folder}/_{name}.{uuid.uuid4().hex}"
+
+    def __enter__(self):
+        self.text = io.TextIOWrapper(self.system.open_output_stream(self.partial), ENCODING, newline="")
+        return self.text
+
+    def __exit__(self, kind, error, trace):
+        self.text.close()
+        if kind is None:
+            if self.system.get_file_info(self.plain).type == arrow_fs.FileType.File:
+                # An earlier attempt or delivery; some file systems do not rename onto a file.
+                self.system.delete_file(self.plain)
+            self.system.move(self.partial, self.plain)

@@ -116,6 +116,40 @@ def lake_invalid():
     return INVALID_KEYS[0]
 
 
+def test_quoted_line_breaks_and_wrong_field_counts(spark, places):
+    folder, root, staging = places
+    broken = item_line("B") + ";surplus"
+    put_archive(folder, "202406", [item_line("A", text='"Tubo\r\nlongo; com ""aspas"""'), broken, item_line("C", text='5" de tubo')])
+    for _ in range(2):
+        lake.load_bronze(spark, str(folder), root, staging, replace=True)
+        rows = {r["CHAVE DE ACESSO"]: r for r in layers.read_table(spark, root, "bronze", "itens").collect()}
+        assert sorted(rows) == ["A", "C"]
+        assert rows["A"]["DESCRIÇÃO DO PRODUTO/SERVIÇO"] == 'Tubo\r\nlongo; com "aspas"'
+        assert rows["C"]["DESCRIÇÃO DO PRODUTO/SERVIÇO"] == '5" de tubo'
+        assert (rows["A"]["VALOR TOTAL"], rows["C"]["VALOR TOTAL"]) == ("1.000,00", "1.000,00")
+        rejects = layers.read_table(spark, root, "bronze", "rejeitados").collect()
+        assert [(r.motivo, r.registro, r.texto.endswith("surplus")) for r in rejects] == [
+            ("itens: expected 12 fields, found 13", 2, True)
+        ]
+    from pathlib import Path
+
+    assert not [p for p in Path(staging).rglob("*") if p.is_file()]
+
+
+def test_redelivery_without_rows_leaves_none(spark, places):
+    folder, root, staging = places
+    put_archive(folder, "202406", [item_line("A")])
+    put_archive(folder, "202407", [item_line("B")])
+    assert lake.load_bronze(spark, str(folder), root, staging) == ["2024-06", "2024-07"]
+    lake.load_silver(spark, root)
+    put_archive(folder, "202407", [], "NFe_v2")
+    assert lake.load_bronze(spark, str(folder), root, staging, replace=True, only=["2024-07"]) == ["2024-07"]
+    lake.load_silver(spark, root, replace=["2024-07"])
+    for layer, key in (("bronze", "CHAVE DE ACESSO"), ("silver", "chave_de_acesso")):
+        assert column(layers.read_table(spark, root, layer, "itens"), key) == ["A"]
+    assert lake.load_bronze(spark, str(folder), root, staging) == []
+
+
 def test_months_with_other_columns(spark, places):
     folder, root, staging = places
     put_archive(folder, "202406", [item_line("A")])
