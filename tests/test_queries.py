@@ -7,13 +7,16 @@ import pytest
 import __spark_entry__ as contract
 from compare import connect, difference
 from tests.conftest import SF_DIR, plan
+from workload.oracle import statements
+from workload.queries import REGISTRY
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = dict(REGISTRY)
+SQL = statements()
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
