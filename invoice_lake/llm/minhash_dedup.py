@@ -1,13 +1,13 @@
 """Near-duplicate documents: MinHash signatures, banding, verification on full shingle sets, components.
 
 Texts with equal shingle sets are one class from the start, so copies cost one row each. Classes that share a band
-are candidates. Three rounds turn candidates into links without pairing a whole bucket:
+are candidates. Two rounds turn candidates into links without emitting the pairs of a bucket:
 
 1. star: each bucket's smallest member against the others;
-2. forest: in buckets that still hold several components, one spanning forest of the pairs whose signatures agree;
-3. rest: all pairs whose signatures agree and whose members are still in different components.
+2. rest: in buckets that still hold several components, all pairs between different components. Those whose signatures
+   agree are confirmed inside the task, and one spanning forest of the confirmed pairs comes out.
 
-Every link is confirmed on the full sets. Round 3 leaves no untested candidate between components, so the components
+Every link is confirmed on the full sets. Round 2 leaves no untested candidate between components, so the components
 are those of all candidate pairs. Large buckets are compared block by block; blocks are spread over tasks.
 """
 
@@ -26,7 +26,9 @@ from invoice_lake.llm.storage import discard, settle
 from invoice_lake.llm.words import BLANK_WORDS, LOWER, Texts, constants, grams, mix, rows_of, slabs
 
 #: 32 bands of 6 minima miss a pair at 0.85 with a chance of 3e-7, and one at 0.3 collides with 2 %.
-BANDS, BAND_ROWS, SHINGLE_WORDS, PERCENT, BLOCK = 32, 6, 5, 85, 2048
+BANDS, BAND_ROWS, SHINGLE_WORDS, PERCENT = 32, 6, 5, 85
+#: Members and shingles of a block (8 MB of hashes), and shingles compared at a time.
+BLOCK, BLOCK_SHINGLES, SHINGLE_STEP = 1024, 1_000_000, 4096
 
 
 def shingle_sets(texts: Texts, k: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -117,15 +119,42 @@ def _passing(left: pa.Table, right: pa.Table, same: bool, width: int, percent: i
     return i[order], j[order]
 
 
-def _compare(group: pa.Table, width: int, percent: int, forest: bool) -> pa.Table:
+def _shared(left: pa.Table, right: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Common shingles of each pair (i, j), from products of 0/1 matrices over a step of shingles at a time."""
+    li, pi = np.unique(i, return_inverse=True)
+    rj, pj = np.unique(j, return_inverse=True)
+    parts = [left["shingles"].take(pa.array(li)).combine_chunks(), right["shingles"].take(pa.array(rj)).combine_chunks()]
+    sizes = [p.value_lengths().to_numpy() for p in parts]
+    hashes = np.concatenate([p.flatten().to_numpy() for p in parts])
+    member = np.repeat(np.arange(len(li) + len(rj)), np.concatenate(sizes))
+    _, column, count = np.unique(hashes, return_inverse=True, return_counts=True)
+    useful = count[column] > 1  # a shingle that stands in one set only is never common
+    member, column = member[useful], np.unique(column[useful], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    member, column = member[order], column[order]
+    common = np.zeros((len(li), len(rj)), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, SHINGLE_STEP):
+        at, stop = np.searchsorted(column, [lo, lo + SHINGLE_STEP])
+        present = np.zeros((len(li) + len(rj), SHINGLE_STEP), np.float32)
+        present[member[at:stop], column[at:stop] - lo] = 1
+        common += present[:len(li)] @ present[len(li):].T
+    return common[pi, pj].astype(np.int64)
+
+
+def _compare(group: pa.Table, width: int, percent: int) -> pa.Table:
+    """A spanning forest of the confirmed links between components in one pair of blocks."""
     lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
     block = group["block"].to_numpy()
     left, right = group.filter(pa.array(block == lo)), group.filter(pa.array(block == hi))
     i, j = _passing(left, right, lo == hi, width, percent)
-    a, b = left["doc_id"].to_numpy()[i], right["doc_id"].to_numpy()[j]
-    if forest:
+    if len(i):
+        shared = _shared(left, right, i, j)
+        whole = left["n_shingles"].to_numpy()[i] + right["n_shingles"].to_numpy()[j] - shared
+        true = 100 * shared >= percent * whole
+        i, j = i[true], j[true]
         keep = _spanning(left["component"].to_numpy()[i], right["component"].to_numpy()[j])
-        a, b = a[keep], b[keep]
+        i, j = i[keep], j[keep]
+    a, b = left["doc_id"].to_numpy()[i], right["doc_id"].to_numpy()[j]
     return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
 
@@ -166,22 +195,22 @@ def _star_pairs(members: DataFrame, nodes: DataFrame, percent: int, width: int)
     )
 
 
-def _rest_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, width: int, forest: bool) -> DataFrame:
-    """Pairs with agreeing signatures in buckets that hold more than one component, compared block by block."""
-    labelled = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
+def _rest_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links between components that share a bucket, compared block by block."""
+    labelled = (
+        members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .join(nodes.select("doc_id", "n_shingles", "marks"), "doc_id")
+        .withColumn("component", F.coalesce("component", "doc_id")))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
     open_bands = (
-        labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .where("low <> high").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
+        labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), blocks.alias("blocks"))
+        .where("low <> high").select("band", "blocks"))
     rows = labelled.join(open_bands, "band").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     spread = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band", "doc_id", "component", "block",
+        "band", "doc_id", "component", "n_shingles", "marks", "block",
         F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    return (
-        spread.join(nodes.select("doc_id", "n_shingles", "marks"), "doc_id").groupBy("band", "lo", "hi")
-        .applyInArrow(lambda group: _compare(group, width, percent, forest), "a long, b long").distinct()
-    )
+    return spread.join(sets, "doc_id").groupBy("band", "lo", "hi").applyInArrow(
+        lambda group: _compare(group, width, percent), "a long, b long").distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -223,15 +252,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
 
     links = settle(_confirmed(_star_pairs(members, nodes, percent, width), sets, percent), "links")
     labels = connected_components(links)
-    for forest in (True, False):
-        more = settle(_rest_pairs(members, nodes, labels, percent, width, forest), "pairs")
-        if more.isEmpty():
-            break
-        fresh = settle(_confirmed(more, sets, percent), "links")
-        if fresh.isEmpty():
-            continue
-        links = links.unionByName(fresh)
-        labels = connected_components(links)
+    more = settle(_rest_links(members, nodes, sets, labels, percent, width), "links")
+    if not more.isEmpty():
+        labels = connected_components(links.unionByName(more))
     for table in (members, sets, nodes):
         discard(table)
     found = described.select("doc_id", *of_set).join(classes, of_set, "left").join(
