@@ -16,6 +16,8 @@ from invoice_lake.llm.words import Texts, slabs
 
 #: Slots of the n-gram vectors, centroids per language, and the bound on the documents that each language's are fitted to.
 WIDTH, CENTROIDS, PER_LANGUAGE = 4096, 4, 1500
+#: More values of lang than this are an error; it bounds what is broadcast.
+MAX_LANGUAGES = 1000
 #: A document is rejected when its cosine is below this part of the lowest 0.1 % among its language's fitted documents.
 REJECT = 0.5
 UNDETERMINED = "und"
@@ -65,8 +67,14 @@ def fit_languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Language
     """
     known = docs.where("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     weights = inverse_frequencies(known, WIDTH, letter_grams)
-    shares = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(per_language) / F.count("*")).alias("share"))
-    chosen = known.join(shares, "lang").where(
+    counts = known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} values of lang")
+    if not counts:
+        return LanguageModel(weights, np.zeros((0, WIDTH), np.float32), [], np.zeros(0))
+    rates = [(r["lang"], min(1.0, per_language / r["count"])) for r in counts]
+    shares = docs.sparkSession.createDataFrame(rates, "lang string, share double")
+    chosen = known.join(F.broadcast(shares), "lang").where(
         F.abs(F.xxhash64(F.lit(43), "doc_id") % 1_000_000) < F.col("share") * 1_000_000)
     fitted = chosen.select("lang", "text").groupBy("lang").applyInArrow(
         lambda group: _fit_language(group, weights), "lang string, cutoff double, centroid binary")
