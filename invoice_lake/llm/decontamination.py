@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from invoice_lake.llm.storage import discard, settle
+from invoice_lake.llm.storage import discard, settle, small_batches
 from invoice_lake.llm.words import ALNUM_WORDS, LOWER, constants, grams, mix, rows_of, slabs
 
 WINDOW, GRAM = 10, 5
@@ -130,7 +130,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     source = docs.select("doc_id", "text")
     shared = source.sparkSession.sparkContext.broadcast((lengths if wanted is None or len(wanted) else [], wanted))
     scanned = settle(
-        source.mapInArrow(
+        small_batches(source).mapInArrow(
             lambda batches: _document_rows(batches, *shared.value),
             f"row long, doc_id {source.schema['doc_id'].dataType.simpleString()}, n_words long, "
             "windows array<struct<fingerprint: long, hash: long, begin: long, length: int>>"), "scanned")

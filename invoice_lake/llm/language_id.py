@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from invoice_lake.llm.features import damp, letter_grams
-from invoice_lake.llm.learning import features_of, inverse_frequencies, sample_below
+from invoice_lake.llm.learning import features_of, inverse_frequencies
+from invoice_lake.llm.storage import small_batches
 from invoice_lake.llm.words import Texts, slabs
 
 #: Slots of the n-gram vectors, centroids per language, and the bound on the documents that each language's are fitted to.
@@ -49,7 +50,7 @@ def _cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def _fit_language(group: pa.Table, weights: np.ndarray) -> pa.Table:
-    rows = damp(features_of(group.select(["text"]), len(weights), letter_grams), weights)
+    rows = features_of(group.select(["text"]), len(weights), letter_grams, lambda counts: damp(counts, weights))
     rows = rows[rows.any(axis=1)]
     centroids = _cluster(rows, CENTROIDS) if len(rows) else np.zeros((0, len(weights)), np.float32)
     low = float(np.quantile((rows @ centroids.T).max(axis=1), 0.001)) if len(rows) else 0.0
@@ -116,6 +117,6 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop("lang_pred", "lang_score", "lang_rejected")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(
+    return small_batches(kept).mapInArrow(
         lambda batches: _predict(batches, shared.value),
         f"{fields}, lang_pred string, lang_score double, lang_rejected boolean")

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from invoice_lake.llm.storage import small_batches
 from invoice_lake.llm.words import Texts, slabs
 
 
@@ -46,7 +47,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch], width: int, features: Ca
 
 def inverse_frequencies(docs: DataFrame, width: int, features: Callable[[Texts, int], np.ndarray]) -> np.ndarray:
     """Smoothed inverse document frequency of every slot over all ``docs``; each task sends one row per slot."""
-    parts = docs.select("text").mapInArrow(lambda batches: _document_counts(batches, width, features), "slot long, n long")
+    parts = small_batches(docs.select("text")).mapInArrow(lambda batches: _document_counts(batches, width, features), "slot long, n long")
     total, seen = 0, np.zeros(width, np.float64)
     for slot, n in parts.groupBy("slot").agg(F.sum("n")).collect():
         if slot < 0:
@@ -56,7 +57,12 @@ def inverse_frequencies(docs: DataFrame, width: int, features: Callable[[Texts,
     return (np.log((1 + total) / (1 + seen)) + 1).astype(np.float32)
 
 
-def features_of(table: pa.Table, width: int, features: Callable[[Texts, int], np.ndarray]) -> np.ndarray:
-    """Feature rows of a bounded sample."""
-    parts = [features(texts, width) for _, texts in slabs(table.combine_chunks().to_batches())]
-    return np.concatenate(parts) if parts else np.zeros((0, width), np.float32)
+def features_of(
+    table: pa.Table, width: int, features: Callable[[Texts, int], np.ndarray], finish: Callable[[np.ndarray], np.ndarray]
+) -> np.ndarray:
+    """Feature rows of a bounded sample, each slab finished and put in its place of one matrix."""
+    out, at = np.empty((len(table), width), np.float32), 0
+    for _, texts in slabs(table.combine_chunks().to_batches()):
+        out[at:at + len(texts)] = finish(features(texts, width))
+        at += len(texts)
+    return out

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from invoice_lake.llm.components import connected_components
-from invoice_lake.llm.storage import discard, settle
+from invoice_lake.llm.storage import discard, settle, small_batches
 from invoice_lake.llm.words import BLANK_WORDS, LOWER, Texts, constants, grams, mix, rows_of, slabs
 
 #: 32 bands of 6 minima miss a pair at 0.85 with a chance of 3e-7, and one at 0.3 collides with 2 %.
@@ -234,7 +234,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     width = bands * band_rows
-    described = settle(source.mapInArrow(
+    described = settle(small_batches(source).mapInArrow(
         lambda batches: _describe(batches, bands, band_rows),
         "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, marks binary"), "described")
     filled = described.where("n_shingles > 0 and doc_id is not null")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from invoice_lake.llm.storage import settle
+from invoice_lake.llm.storage import settle, small_batches
 from invoice_lake.llm.tokens import word_ids
 from invoice_lake.llm.words import slabs
 
@@ -129,7 +129,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     numbers = "start long, length long, ids_crc32 long, doc_tokens long"
-    pieces = settle(docs.select("doc_id", "text").mapInArrow(
+    pieces = settle(small_batches(docs.select("doc_id", "text")).mapInArrow(
         lambda batches: _tokenise(batches, tokenizer_path, end_id), f"doc_id {kind}, row long, {numbers}"), "pieces")
     full, rest = pieces.where(F.col("length") == capacity), pieces.where(F.col("length") < capacity)
     total = rest.agg(F.sum("length")).first()[0] or 0

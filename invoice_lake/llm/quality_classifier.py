@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from invoice_lake.llm.features import damp_halves, word_and_byte_grams
 from invoice_lake.llm.learning import features_of, inverse_frequencies, labelled_texts
+from invoice_lake.llm.storage import small_batches
 from invoice_lake.llm.words import slabs
 
 #: Slots of the TF-IDF vectors, latent dimensions, neighbours that vote, and the bound on labelled rows (4 MB of vectors).
@@ -64,7 +65,7 @@ def _axes(rows: np.ndarray, k: int) -> np.ndarray:
 
 def _fit(sample: pa.Table, weights: np.ndarray) -> pa.Table:
     sample = sample.sort_by("doc_id")
-    rows = damp_halves(features_of(sample.select(["text"]), len(weights), word_and_byte_grams), weights)
+    rows = features_of(sample.select(["text"]), len(weights), word_and_byte_grams, lambda counts: damp_halves(counts, weights))
     axes = np.zeros((len(weights), DIMENSIONS), np.float32)
     found = _axes(rows, min(DIMENSIONS, *rows.shape))
     axes[:, :found.shape[1]] = found
@@ -111,5 +112,5 @@ def score_quality(docs: DataFrame, model: NeighbourModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop("quality_score", "quality_predicted")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(
+    return small_batches(kept).mapInArrow(
         lambda batches: _score(batches, shared.value), f"{fields}, quality_score double, quality_predicted int")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from invoice_lake.llm.features import damp_halves, word_and_byte_grams
 from invoice_lake.llm.learning import features_of, labelled_texts
+from invoice_lake.llm.storage import small_batches
 from invoice_lake.llm.words import BLANK_WORDS, Texts, grams, hash_spans, rows_of, slabs
 
 #: Slots of the n-gram vectors, the bound on labelled rows to learn from, and the fixed thresholds.
@@ -68,11 +69,12 @@ def _calibrate(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 def _fit(sample: pa.Table) -> pa.Table:
     sample = sample.sort_by("doc_id")
-    rows = damp_halves(features_of(sample.select(["text"]), WIDTH, word_and_byte_grams), np.ones(WIDTH, np.float32))
+    apart = np.arange(len(sample)) % 5 == 4
+    sample, n = sample.take(pa.array(np.argsort(apart, kind="stable"))), int((~apart).sum())
+    rows = features_of(sample.select(["text"]), WIDTH, word_and_byte_grams, lambda counts: damp_halves(counts, np.ones(WIDTH, np.float32)))
     labels = sample["label"].to_numpy().astype(np.float64)
-    apart = np.arange(len(rows)) % 5 == 4
-    weights, intercept = _regress(rows[~apart], labels[~apart])
-    slope, shift = _calibrate(rows[apart] @ weights + intercept, labels[apart]) if apart.any() else (1.0, 0.0)
+    weights, intercept = _regress(rows[:n], labels[:n])
+    slope, shift = _calibrate(rows[n:] @ weights + intercept, labels[n:]) if apart.any() else (1.0, 0.0)
     return pa.table({"weights": pa.array([weights.astype(np.float32).tobytes()], pa.binary()),
                      "terms": pa.array([[intercept, slope, shift]], pa.list_(pa.float64()))})
 
@@ -152,7 +154,7 @@ def judge(docs: DataFrame, model: QualityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop(*ADDED)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(
+    return small_batches(kept).mapInArrow(
         lambda batches: _judge(batches, shared.value),
         f"{fields}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "base_failed boolean, quality_probability double, quality_kept boolean")

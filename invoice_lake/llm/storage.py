@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``. Only a local session without that setting gets one of its own."""
@@ -32,6 +34,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).withMetadata(df.columns[0], {"scratch": path})
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session hands rows to Python in Arrow batches of about 4 MB unless it sets a size of its own.
+
+    Spark's default of 64 MB is held by the JVM and by each Python worker at once.
+    """
+    if _BATCH_BYTES not in df.sparkSession.conf.getAll:
+        df.sparkSession.conf.set(_BATCH_BYTES, "4m")
+    return df
+
+
 def discard(df: DataFrame) -> None:
     """Delete a settled table that no later step reads."""
     path = df.schema[0].metadata.get("scratch")

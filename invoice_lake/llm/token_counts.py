@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from invoice_lake.llm.storage import small_batches
 from invoice_lake.llm.tokens import byte_ids, tokenizer
 from invoice_lake.llm.words import Texts, slabs
 
@@ -94,5 +95,5 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, chunk: int = CHUNK) -> Da
     """
     kept = docs.drop("n_bytes", "n_tokens", "over_limit")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(
+    return small_batches(kept).mapInArrow(
         lambda batches: _count(batches, tokenizer_path, chunk), f"{fields}, n_bytes long, n_tokens long, over_limit boolean")

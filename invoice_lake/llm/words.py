@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 SLAB_BYTES = 1 << 20
-SLAB_ROWS = 1024
+SLAB_ROWS = 512
 LONG_WORD = 1 << 16
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
