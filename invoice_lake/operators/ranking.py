@@ -36,10 +36,10 @@ def rank_in_groups(
     keys = [f"_key{i}" for i in range(len(groups))]
     keyed = df.withColumns({key: _as_key(name) for key, name in zip(keys, groups)})
 
-    # At most rows / hot_rows groups are hot, which bounds the broadcast; mostly there is none.
+    # At most rows / hot_rows groups are hot; mostly there is none.
     sizes = keyed.groupBy(*keys).agg(F.sum(value).alias("_total"), F.count("*").alias("_n"))
     hot_groups = sizes.filter(F.col("_n") > hot_rows).select(*keys, "_total", F.lit(True).alias("_hot"))
-    flagged = keyed.join(F.broadcast(hot_groups), keys, "left")
+    flagged = keyed.join(_bounded(hot_groups, hot_rows), keys, "left")
 
     hot = F.col("_hot").isNotNull()
     sliced = flagged.withColumn("_tie", tie_hash(ties)).withColumns(
@@ -61,7 +61,7 @@ def rank_in_groups(
         }
     ).withColumn(share, ratio(value, total))
     if share_total is not None:
-        placed = _add_share_total(placed, keys, within, share, share_total)
+        placed = _add_share_total(placed, keys, within, share, share_total, hot_rows)
 
     before = _rows_before(sliced.filter(hot), keys, value)
     ranked = placed.join(before, piece, "left")
@@ -70,6 +70,11 @@ def rank_in_groups(
     return ranked.select(*df.columns, total, place.alias(rank), *extra)
 
 
+def _bounded(hot: DataFrame, hot_rows: int) -> DataFrame:
+    """Broadcast one row per hot group where each has at least ``HOT_ROWS`` rows; below, Spark chooses by size."""
+    return F.broadcast(hot) if hot_rows >= HOT_ROWS else hot
+
+
 def _as_key(name: str) -> Column:
     """A group value as text that is never NULL, so that NULL is a group in equality joins too."""
     text = F.col(name).cast("string")
@@ -110,13 +115,13 @@ def _rows_before(hot: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def _add_share_total(
-    placed: DataFrame, keys: Sequence[str], within: Window, share: str, share_total: str
+    placed: DataFrame, keys: Sequence[str], within: Window, share: str, share_total: str, hot_rows: int
 ) -> DataFrame:
     """Sum of the rounded shares per group. It is added up in decimals, so the order is no matter."""
     exact = F.sum(F.col(share).cast("decimal(18,4)"))
     hot = F.col("_hot").isNotNull()
     hot_sums = placed.filter(hot).groupBy(*keys).agg(exact.alias("_shares"))
-    summed = placed.join(F.broadcast(hot_sums), keys, "left")
+    summed = placed.join(_bounded(hot_sums, hot_rows), keys, "left")
     value = F.when(hot, F.col("_shares")).otherwise(exact.over(within))
     return summed.withColumn(share_total, value.cast("double"))
 

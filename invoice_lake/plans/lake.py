@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoice_lake.operators import marts
-from invoice_lake.operators.cleaning import clean_table
+from invoice_lake.operators.cleaning import TAX_ID_COLUMNS, clean_table
 from invoice_lake.operators.matching import chain_items
 from invoice_lake.plans import inquiries
 from invoice_lake.plans.reports import label_cnae
@@ -156,14 +156,46 @@ def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> dic
     return written
 
 
-def item_reports(spark: SparkSession, items: DataFrame, group_a: DataFrame) -> dict[str, DataFrame]:
-    """Further reports over the silver items, ready to ``publish``."""
-    words, needles = mappings.keywords()
+def item_reports(
+    spark: SparkSession, items: DataFrame, group_a: DataFrame, words: Sequence[str] | None = None,
+    steel: DataFrame | None = None, signs: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """Further reports over the silver items, ready to ``publish``; without tables of the user, the built-in ones."""
+    words = mappings.keywords()[0] if words is None else list(words)
+    needles = [mappings.normalized_keyword(word) for word in words]
     ranked = marts.ranked_by_code(items)
-    return {
-        "aco_totais_por_grupo_e_orgao": marts.buyers_by_code_group(items, mappings.steel_groups(spark)),
+    tables = {
+        "aco_totais_por_grupo_e_orgao": marts.buyers_by_code_group(items, mappings.steel_groups(spark) if steel is None else steel),
         "totais_com_agregacao_das_descricoes": ranked,
         "totais_palavras_chave": inquiries.keyword_rows(ranked),
         "totais_por_tipo": marts.ranked_by_type(items, group_a),
         "totais_por_palavra_chave": marts.ranked_keyword_hits(marts.keyword_hits(items, words, needles)),
     }
+    if signs is not None:
+        tables["totais_com_sinal"] = inquiries.signed_totals(items, signs)
+        tables["tipos_com_sinal"] = inquiries.signed_by_product_type(items, signs)
+    return tables
+
+
+def invoice_reports(
+    invoices: DataFrame, presence: DataFrame | None = None, raw: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Reports over the silver invoice headers, ready to ``publish``.
+
+    Silver keeps company ids as numbers, so the suppliers with a foreign id come from ``raw``, the bronze headers.
+    """
+    tables = {
+        "valor_por_ano": inquiries.value_by_year(invoices),
+        "valor_por_uf_emitente": inquiries.value_by_state(invoices, "uf_emitente"),
+        "valor_por_uf_destinatario": inquiries.value_by_state(invoices, "uf_destinatario"),
+        "natureza_exterior": inquiries.nature_share(invoices),
+    }
+    mixed = TAX_ID_COLUMNS[0][0]
+    if raw is not None and mixed in raw.columns:
+        issued = raw.select("CHAVE DE ACESSO", F.col(f"`{mixed}`").alias("cpf_cnpj_emitente")).distinct()
+        tables["fornecedores_exterior"] = inquiries.suppliers_with_prefix(issued)
+    if presence is not None:
+        company = F.lpad(F.col("cnpj_emitente").cast("decimal(18,0)").cast("string"), 14, "0")
+        named = invoices.withColumn("cpf_cnpj_emitente", F.coalesce(company, "cpf_emitente"))
+        tables["fornecedores_presenca"] = inquiries.supplier_presence(named, presence)
+    return tables

@@ -1,10 +1,15 @@
 """Archives to deliverables, as a batch and as a stream."""
 
+import os
+import subprocess
+import sys
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from invoice_lake.__main__ import main
 from invoice_lake.plans import lake
 from invoice_lake.sources import delivery, landing, layers, mappings
 from invoice_lake.streaming.monthly import stream_archives
@@ -20,10 +25,14 @@ def item_line(key, day="15/06/2024", code="39011020", value="1.000,00", text='"T
     return f"{key};1;{day};{supplier};1;{text};{code};Polímeros;5102;2;500,00;{value}"
 
 
-def put_archive(folder, period, items, name="NFe", members=3, item_name="Item"):
+def put_archive(folder, period, items, name="NFe", members=3, item_name="Item", issuers=None):
     folder.mkdir(exist_ok=True)
+    keys = [line.split(";")[0] for line in items]
+    invoices = "CHAVE DE ACESSO;VALOR NOTA FISCAL\n" + "".join(f"{key};10,00\n" for key in keys)
+    if issuers:
+        invoices = "CHAVE DE ACESSO;CPF/CNPJ Emitente;VALOR NOTA FISCAL\n" + "".join(f"{key};{issuers[key]};10,00\n" for key in keys)
     files = {
-        f"{period}_NF.csv": "CHAVE DE ACESSO;VALOR NOTA FISCAL\n" + "".join(f"{line.split(';')[0]};10,00\n" for line in items),
+        f"{period}_NF.csv": invoices,
         f"{period}_{item_name}.csv": "\r\n".join([ITEM_HEADER, *items]) + "\r\n",
         f"{period}_Eventos.csv": "CHAVE DE ACESSO;EVENTO\nA;Autorização\nA;Autorização\n",
     }
@@ -202,3 +211,25 @@ def test_regional_csv(spark, tmp_path):
     delivery.write_plain_csv(df.drop("i"), str(tmp_path / "p"))
     text = b"".join(p.read_bytes() for p in (tmp_path / "p").glob("part-*.csv")).decode("utf-8")
     assert text.splitlines()[1] == "1234.50,12345678.25,true,3,água; €,2024-06-15 10:00:00,,→"
+
+
+def test_command_line_from_another_folder(spark, places, tmp_path):
+    folder, root, staging = places
+    put_archive(folder, "202406", [item_line("A"), item_line("B", code="72163100"), item_line("C")],
+                issuers={"A": "11111111000100", "B": "11111111000281", "C": "EX7"})
+    load = [sys.executable, "-m", "invoice_lake", "load", "--landing", str(folder), "--root", root, "--staging", staging]
+    env = os.environ | {"PYTHONPATH": str(Path(__file__).resolve().parent.parent)}
+    subprocess.run(load, cwd=tmp_path, env=env, check=True, timeout=300)
+
+    (tmp_path / "signs.csv").write_text("cfop,sinal\n5102,-1\n")
+    (tmp_path / "b.csv").write_text("Palavras Chaves,Abreviação\nTubo,\n", encoding="utf-8")
+    presence = "cnpj_basico string, tipo_matriz string, presenca_internacional boolean, presenca_nacional boolean"
+    spark.createDataFrame([("11111111", "M", True, True)], presence).write.parquet(str(tmp_path / "presence"))
+    main(["reports", "--root", root, "--signs", str(tmp_path / "signs.csv"), "--group-b", str(tmp_path / "b.csv"),
+          "--presence", str(tmp_path / "presence")])
+    report = lambda name: layers.read_table(spark, root, "gold", name)
+    assert report("valor_por_ano").count() == 1
+    assert {r.grupo for r in report("aco_totais_por_grupo_e_orgao").collect()} == {"Barras e perfis", "TODOS OS DEMAIS PRODUTOS"}
+    assert report("totais_com_sinal").count() == 1
+    assert [(r.qtd_notas, r.cnpj_disponivel) for r in report("fornecedores_presenca").orderBy("qtd_notas").collect()] == [(1, False), (2, True)]
+    assert [tuple(r) for r in report("fornecedores_exterior").collect()] == [("EX7", 1)]

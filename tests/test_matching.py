@@ -90,6 +90,35 @@ def test_fixed_tables(spark, tmp_path):
     assert mappings.read_group_b(spark, str(tmp_path / "b.csv")) == ["Polietileno", "Pneus"]
 
 
+@pytest.mark.parametrize("lines, shown", [
+    ("7216,a", None), ("7216,a\n72163,b", "72163"), ("7216,a\n7216,b", "7216"), (",a", "None"), ("", None)])
+def test_prefix_groups_are_checked(spark, tmp_path, lines, shown):
+    (tmp_path / "g.csv").write_text("ncm_cod,grupo\n" + lines + "\n", encoding="utf-8")
+    if shown is None:
+        assert mappings.read_prefix_groups(spark, str(tmp_path / "g.csv")).count() == len(lines.splitlines())
+    else:
+        with pytest.raises(ValueError, match=shown):
+            mappings.read_prefix_groups(spark, str(tmp_path / "g.csv"))
+
+
+@pytest.mark.parametrize("prefix, length, good", [("3901", 4, True), ("3901", 6, False), ("390110201", 9, False), (None, 4, False)])
+def test_chain_prefixes_are_checked(spark, tmp_path, prefix, length, good):
+    path = str(tmp_path / "chains")
+    spark.createDataFrame([("C1", prefix, length)], "codigo_cadeia string, prefixo_sh string, tamanho_prefixo int").write.parquet(path)
+    if good:
+        assert mappings.read_chain_map(spark, path).count() == 1
+    else:
+        with pytest.raises(ValueError, match="prefixo_sh"):
+            mappings.read_chain_map(spark, path)
+
+
+def test_repeated_company_roots_are_refused(spark, tmp_path):
+    path = str(tmp_path / "presence")
+    spark.createDataFrame([("1", "M"), ("1", "F")], "cnpj_basico string, tipo_matriz string").write.parquet(path)
+    with pytest.raises(ValueError, match="cnpj_basico"):
+        mappings.read_presence(spark, path)
+
+
 def test_supplier_presence(spark):
     invoices = spark.createDataFrame([("12345678000195",), ("99999999000100",)], "cpf_cnpj_emitente string")
     presence = spark.createDataFrame([("12345678", "MATRIZ")], "cnpj_basico string, tipo_matriz string")

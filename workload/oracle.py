@@ -201,6 +201,7 @@ CALENDAR = """calendario AS (
 
 # Patterns of the published keyword flags, as column name and pattern.
 # Fixed values.
+# The published keyword flags.
 _PUBLISHED_FLAGS = (
     ("polietileno_encontrado", "polietileno"),
     ("policloreto de vinila_encontrado", "policloreto de vinila"),
@@ -243,6 +244,7 @@ def _with_series(*parts: str, series: str) -> str:
 def statements() -> dict[str, str]:
     pivoted = (ITEMS, GROUP_A, TYPE_LONG, TYPE_PIVOT)
     document = NORMALIZED.format(c="text")
+    keyword = NORMALIZED.format(c="trim('  ' || text || ' ')")
     flags = ", ".join(
         f"regexp_matches({document}, '\\b{word}\\b') AS tem_{word}" for word in ("la", "que", "re", "ou", "et")
     )
@@ -253,6 +255,25 @@ def statements() -> dict[str, str]:
         f"WHEN regexp_matches(lower(descricao_do_produto_servico), '\\b{word}\\b') THEN '{word}'"
         for word in ("widget", "gear", "bolt", "ring", "rod")
     )
+    by_code = _with(
+        ITEMS, RANK_NCM,
+        "SELECT ano, ncm_cod, ncm_descr, descricao, CAST(total AS DOUBLE) AS total,"
+        " CAST(total_do_ncm AS DOUBLE) AS total_do_ncm, ranking_no_ncm, pct_no_ncm,"
+        " CAST(SUM(CAST(pct_no_ncm AS DECIMAL(10,4))) OVER (PARTITION BY ano, ncm_cod) AS DOUBLE)"
+        " AS pct_total_das_descricoes_exibidas FROM ranking",
+    )
+    by_type = _with(
+        ITEMS, GROUP_A,
+        "totais AS (SELECT ano, trim(m.tipo) AS tipo_de_produto, codigo_ncm_sh AS ncm_cod,"
+        " ncm_sh_tipo_de_produto AS ncm_descr, descricao_do_produto_servico AS descricao, SUM(valor_total) AS total"
+        " FROM itens JOIN mapa_a m ON m.ncm = codigo_ncm_sh GROUP BY 1, 2, 3, 4, 5)",
+        "z AS (SELECT *, SUM(total) OVER (PARTITION BY ano, tipo_de_produto) AS soma FROM totais)",
+        "SELECT ano, tipo_de_produto, ncm_cod, ncm_descr, descricao, CAST(total AS DOUBLE) AS total,"
+        " CAST(soma AS DOUBLE) AS total_do_tipo_de_produto,"
+        " row_number() OVER (PARTITION BY ano, tipo_de_produto ORDER BY z.total DESC,"
+        " left(md5(concat_ws('|', ncm_cod, ncm_descr, descricao)), 3), ncm_cod, ncm_descr, descricao)"
+        f" AS ranking_no_tipo_de_produto, {_PCT.format(whole='soma')} AS pct_no_tipo_de_produto FROM z",
+    )
     return {
         "period_calendar": _with(CALENDAR, "SELECT * FROM calendario"),
         "period_gaps": _with(
@@ -321,6 +342,15 @@ def statements() -> dict[str, str]:
             " WHERE chave <> lpad('7', 44, '0')",
         ),
         "normalize_text": f"SELECT doc_id, length({document}) AS tamanho, md5({document}) AS resumo FROM documents",
+        "normalize_keyword": f"SELECT doc_id, length({keyword}) AS tamanho, md5({keyword}) AS resumo FROM documents",
+        "mapping_trimmed": "SELECT DISTINCT trim(' ' || p_brand || '  ') AS tipo, trim(' ' || p_type) AS ncm FROM part",
+        "regional_text": (
+            "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,"
+            " replace(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS valor,"
+            " regexp_replace(regexp_replace(replace(CAST(CAST(l_discount AS DECIMAL(38,10)) AS VARCHAR), '.', ','), '0+$', ''),"
+            " ',$', ',0') AS desconto, CASE WHEN l_quantity > 25 THEN 'True' WHEN l_quantity <= 25 THEN 'False' END AS acima,"
+            " '[' || concat_ws(', ', l_returnflag, l_linestatus) || ']' AS marcas FROM lineitem"
+        ),
         "keyword_flags": f"SELECT doc_id, {flags}, {published} FROM documents",
         "product_category": _with(
             ITEMS,
@@ -549,25 +579,10 @@ def statements() -> dict[str, str]:
             " row_number() OVER (PARTITION BY ano, tipo_de_produto ORDER BY z.total DESC, left(md5(descricao), 3),"
             f" descricao) AS ranking_no_tipo_de_produto, {_PCT.format(whole='soma')} AS pct_no_grupo FROM z",
         ),
-        "rank_within_ncm": _with(
-            ITEMS, RANK_NCM,
-            "SELECT ano, ncm_cod, ncm_descr, descricao, CAST(total AS DOUBLE) AS total,"
-            " CAST(total_do_ncm AS DOUBLE) AS total_do_ncm, ranking_no_ncm, pct_no_ncm,"
-            " CAST(SUM(CAST(pct_no_ncm AS DECIMAL(10,4))) OVER (PARTITION BY ano, ncm_cod) AS DOUBLE)"
-            " AS pct_total_das_descricoes_exibidas FROM ranking",
-        ),
-        "rank_within_type": _with(
-            ITEMS, GROUP_A,
-            "totais AS (SELECT ano, trim(m.tipo) AS tipo_de_produto, codigo_ncm_sh AS ncm_cod,"
-            " ncm_sh_tipo_de_produto AS ncm_descr, descricao_do_produto_servico AS descricao, SUM(valor_total) AS total"
-            " FROM itens JOIN mapa_a m ON m.ncm = codigo_ncm_sh GROUP BY 1, 2, 3, 4, 5)",
-            "z AS (SELECT *, SUM(total) OVER (PARTITION BY ano, tipo_de_produto) AS soma FROM totais)",
-            "SELECT ano, tipo_de_produto, ncm_cod, ncm_descr, descricao, CAST(total AS DOUBLE) AS total,"
-            " CAST(soma AS DOUBLE) AS total_do_tipo_de_produto,"
-            " row_number() OVER (PARTITION BY ano, tipo_de_produto ORDER BY z.total DESC,"
-            " left(md5(concat_ws('|', ncm_cod, ncm_descr, descricao)), 3), ncm_cod, ncm_descr, descricao)"
-            f" AS ranking_no_tipo_de_produto, {_PCT.format(whole='soma')} AS pct_no_tipo_de_produto FROM z",
-        ),
+        "rank_within_ncm": by_code,
+        "rank_within_ncm_sliced": by_code,
+        "rank_within_type": by_type,
+        "rank_within_type_sliced": by_type,
         "prefix_group_buyer": _with(
             ITEMS, CODE_GROUPS,
             "SELECT ano, COALESCE(grupo, 'TODOS OS DEMAIS PRODUTOS') AS grupo, nome_destinatario AS orgao_comprador,"

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from invoice_lake.functions import codes, parsing, periods, text
 from invoice_lake.operators import cleaning, marts, matching, quality
 from invoice_lake.plans import inquiries, reports
-from invoice_lake.sources import layers
+from invoice_lake.sources import delivery, layers, mappings
 from workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,6 +182,32 @@ def normalize_text(spark, sf):
     )
 
 
+@register
+def normalize_keyword(spark, sf):
+    value = text.normalize_keyword(F.concat(F.lit("  "), "text", F.lit(" ")))
+    return views.table(spark, sf, "documents").select(
+        "doc_id", F.length(value).cast("bigint").alias("tamanho"), F.md5(value).alias("resumo")
+    )
+
+
+@register
+def mapping_trimmed(spark, sf):
+    rows = views.table(spark, sf, "part").select(
+        F.concat(F.lit(" "), "p_brand", F.lit("  ")).alias("tipo"), F.expr("concat(' ', p_type)").alias("ncm")
+    )
+    return mappings.tidy_group_a(rows)
+
+
+@register
+def regional_text(spark, sf):
+    lines = views.table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("valor"), F.col("l_discount").cast("double").alias("desconto"),
+        (F.col("l_quantity") > 25).alias("acima"), F.array("l_returnflag", "l_linestatus").alias("marcas"),
+    )
+    return delivery.regional_text(lines)
+
+
 @register
 def keyword_flags(spark, sf):
     patterns = {f"tem_{word}": word for word in DOCUMENT_WORDS} | marts.KEYWORD_PATTERNS
@@ -203,12 +229,12 @@ def like_any_share(spark, sf):
     return plain(inquiries.nature_share(heads, ("urgent", "high"), 1998))
 
 
-def _ranked_by_code(spark, sf):
+def _ranked_by_code(spark, sf, **options):
     lines = views.items(
         spark, sf, "data_emissao", "codigo_ncm_sh", "ncm_sh_tipo_de_produto",
         "descricao_do_produto_servico", "valor_total",
     )
-    return marts.ranked_by_code(lines)
+    return marts.ranked_by_code(lines, **options)
 
 
 @register
@@ -555,13 +581,29 @@ def rank_within_ncm(spark, sf):
     return plain(_ranked_by_code(spark, sf))
 
 
-@register
-def rank_within_type(spark, sf):
+def _ranked_by_type(spark, sf, **options):
     lines = views.items(
         spark, sf, "data_emissao", "codigo_ncm_sh", "ncm_sh_tipo_de_produto",
         "descricao_do_produto_servico", "valor_total",
     )
-    return plain(marts.ranked_by_type(lines, views.group_a(spark, sf)))
+    return marts.ranked_by_type(lines, views.group_a(spark, sf), **options)
+
+
+@register
+def rank_within_type(spark, sf):
+    return plain(_ranked_by_type(spark, sf))
+
+
+@register
+def rank_within_ncm_sliced(spark, sf):
+    """As ``rank_within_ncm``, with every group above one row taken for a hot one."""
+    return plain(_ranked_by_code(spark, sf, hot_rows=1))
+
+
+@register
+def rank_within_type_sliced(spark, sf):
+    """As ``rank_within_type``, with every group above 20 rows taken for a hot one."""
+    return plain(_ranked_by_type(spark, sf, hot_rows=20))
 
 
 @register
