@@ -20,6 +20,21 @@ def test_stages_keep_the_columns_and_take_effect(spark):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in before.select("doc_id").collect()}
 
 
+def test_near_copies_from_80_percent_are_linked(spark):
+    texts = []
+    for base in range(12):
+        words = [f"w{base}x{i}" for i in range(104)]
+        texts += [" ".join(words[:104 - k] + [f"v{base}x{k}x{i}" for i in range(k)]) for k in (0, 7 + base % 7)]
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    alike = [a for a in range(len(sets)) if any(100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for b in range(a))]
+    between = [a for a in alike if all(100 * len(sets[a] & sets[b]) < 85 * len(sets[a] | sets[b]) for b in range(a))]
+    assert len(between) >= 5 and len(alike) < 12
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], spark.read.parquet(f"{SF_DIR}/documents.parquet").schema)
+    kept = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(range(len(texts))) - set(alike))
+
+
 def test_empty_and_null_rows(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     extra = spark.createDataFrame([(None, None, None, None, None), (-5, "", "en", "x", 0), (-6, None, None, None, None)], docs.schema)
