@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -97,9 +98,6 @@ class PieceIds:
         self.begin, self.count = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int32)
 
     def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
-        if len(self.known) + len(hashes) > CACHE_PIECES:
-            self.known.clear()
-            self.used = 0
         direct = [self.plain(p) for p in pieces]
         rest = [p.decode("utf-8") for p, d in zip(pieces, direct) if d is None]
         encoded = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
@@ -117,9 +115,13 @@ class PieceIds:
         self.used = int(ends[-1])
         self.known.update(zip(hashes, range(at, at + n)))
 
-    def _places(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """The cache row of every piece and the first piece of each text."""
-        starts, ends = self.cut(texts)
+    def _rows(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+        """The cache rows of all pieces, in runs of at most ``CACHE_PIECES``; a run's rows hold until the next is taken."""
+        for lo in range(0, len(starts), CACHE_PIECES):
+            yield self._known_rows(texts, starts[lo:lo + CACHE_PIECES], ends[lo:lo + CACHE_PIECES])
+
+    def _known_rows(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The cache row of each piece. Their distinct pieces fit the cache, which is cleared before learning or not at all."""
         hashes = hash_spans(texts.data, starts, ends, self.fold)
         distinct, sample, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         keys = distinct.tolist()
@@ -131,8 +133,7 @@ class PieceIds:
             part = missing[lo:lo + 4096]
             spans = [(int(starts[sample[i]]), int(ends[sample[i]])) for i in part]
             self._learn([keys[i] for i in part], [texts.data[s:e].tobytes() for s, e in spans])
-        rows = np.fromiter((self.known[h] for h in keys), np.int64, len(keys))
-        return rows[inverse] if len(keys) else np.empty(0, np.int64), np.searchsorted(starts, texts.offsets)
+        return np.fromiter((self.known[h] for h in keys), np.int64, len(keys))[inverse]
 
     def _ordinary(self, texts: Texts) -> tuple[Texts, np.ndarray]:
         odd = unusual(texts)
@@ -145,9 +146,13 @@ class PieceIds:
     def counts(self, texts: Texts) -> np.ndarray:
         """Tokens of each text."""
         plain, odd = self._ordinary(texts)
-        rows, first = self._places(plain)
-        sums = np.zeros(len(rows) + 1, np.int64)
-        np.cumsum(self.count[rows], out=sums[1:])
+        starts, ends = self.cut(plain)
+        first = np.searchsorted(starts, plain.offsets)
+        sums, at = np.zeros(len(starts) + 1, np.int64), 1
+        for rows in self._rows(plain, starts, ends):
+            sums[at:at + len(rows)] = self.count[rows]
+            at += len(rows)
+        np.cumsum(sums, out=sums)
         out = sums[first[1:]] - sums[first[:-1]]
         for i in np.flatnonzero(odd):
             out[i] = len(self.tokenizer.encode(texts.bytes(i).decode("utf-8"), add_special_tokens=False).ids)
@@ -156,11 +161,16 @@ class PieceIds:
     def ids(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and where each text's ids begin (one more place than texts)."""
         plain, odd = self._ordinary(texts)
-        rows, first = self._places(plain)
-        sizes = self.count[rows].astype(np.int64)
-        ends = np.cumsum(sizes)
-        flat = self.flat[np.repeat(self.begin[rows] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        begins = np.concatenate([[0], ends])[first]
+        starts, stops = self.cut(plain)
+        first = np.searchsorted(starts, plain.offsets)
+        found, counted = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for rows in self._rows(plain, starts, stops):
+            sizes = self.count[rows].astype(np.int64)
+            ends = np.cumsum(sizes)
+            found.append(self.flat[np.repeat(self.begin[rows] - (ends - sizes), sizes) + np.arange(int(ends[-1]))])
+            counted.append(sizes)
+        flat = np.concatenate(found)
+        begins = np.concatenate([[0], np.cumsum(np.concatenate(counted))])[first]
         if not odd.any():
             return flat, begins
         parts = [

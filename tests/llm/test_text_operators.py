@@ -22,7 +22,7 @@ from invoice_lake.llm.components import connected_components
 from invoice_lake.llm.learning import held_out
 from invoice_lake.llm.oracle import STATEMENTS
 from invoice_lake.llm.storage import scratch_path
-from invoice_lake.llm.words import ALNUM_WORDS, BLANK_WORDS, LOWER, texts_of
+from invoice_lake.llm.words import ALNUM_WORDS, BLANK_WORDS, KEEP_CASE, LOWER, texts_of
 from tests.conftest import SF_DIR
 
 WORD, BYTE = queries.WORD_TOKENIZER, queries.BYTE_TOKENIZER
@@ -85,6 +85,20 @@ def test_token_ids_equal_the_library():
         assert counts[i] == len(byte.encode(text or "", add_special_tokens=False).ids)
 
 
+@pytest.mark.parametrize("bound", [1, 7, 4500])
+def test_texts_with_more_distinct_pieces_than_the_cache(monkeypatch, bound):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", bound)
+    many = [" ".join(f"{i * 7919} k{i % 50}" for i in range(6000 if bound > 100 else 60)), "", "tail of k1 words", "<|odd|> k2"]
+    texts = texts_of(pa.array(many + many))
+    word, byte = tokens.PieceIds(WORD, tokens.cut_dropping_blanks, LOWER, tokens._lower_letters), tokens.PieceIds(
+        BYTE, tokens.cut_keeping_blanks, KEEP_CASE, tokens._spaced_letters)
+    for _ in range(2):
+        flat, begins = word.ids(texts)
+        assert [flat[a:b].tolist() for a, b in zip(begins, begins[1:])] == [library_ids(WORD, t) for t in many + many]
+        assert byte.counts(texts).tolist() == [len(library_ids(BYTE, t)) for t in many + many]
+        assert len(word.known) <= bound and len(byte.known) <= bound
+
+
 @pytest.mark.parametrize("text", [LONG[:9000], "ab " * 900 + "x" * 5000 + " cd" * 900, "y" * 9000, "a  b" * 2000, "é\n" * 3000, "<|endoftext|> q" * 500])
 def test_spliced_chunks_count_like_the_whole(text):
     encoder = Tokenizer.from_file(BYTE)
