@@ -36,14 +36,14 @@ def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple[int
     return [(s, capacity) for s in starts] + [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
-def _tokenise(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+def _tokenise(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
     encoder, at = word_ids(path), TaskContext.get().partitionId() << 40
     for rows, texts in slabs(batches):
         flat, begins = encoder.ids(texts)
         out: dict[str, list[int]] = {k: [] for k in ("place", "row", "start", "length", "ids_crc32", "doc_tokens")}
         for i in range(len(texts)):
             ids = np.append(flat[begins[i]:begins[i + 1]], end_id).astype("<u4")
-            for start, length in cuts(len(ids)):
+            for start, length in cuts(len(ids), capacity, min(PIECE, capacity)):
                 values = (i, at, start, length, zlib.crc32(ids[start:start + length].tobytes()), len(ids))
                 for column, value in zip(out.values(), values):
                     column.append(value)
@@ -120,7 +120,7 @@ def _pack_group(group: pa.Table, capacity: int) -> pa.Table:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces of all ``docs`` (doc_id, text) with their place in sequences of at most 4096 tokens.
+    """Pieces of all ``docs`` (doc_id, text) with their place in sequences of at most ``capacity`` tokens.
 
     A document's ids are those of its whole text plus ``end_id``; a null or empty text has that id alone. Returns
     doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset for each piece. Sequences are filled
@@ -130,7 +130,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
     kind = docs.schema["doc_id"].dataType.simpleString()
     numbers = "start long, length long, ids_crc32 long, doc_tokens long"
     pieces = settle(small_batches(docs.select("doc_id", "text")).mapInArrow(
-        lambda batches: _tokenise(batches, tokenizer_path, end_id), f"doc_id {kind}, row long, {numbers}"), "pieces")
+        lambda batches: _tokenise(batches, tokenizer_path, end_id, capacity), f"doc_id {kind}, row long, {numbers}"), "pieces")
     full, rest = pieces.where(F.col("length") == capacity), pieces.where(F.col("length") < capacity)
     total = rest.agg(F.sum("length")).first()[0] or 0
     groups = max(1, -(-total // (capacity * GROUP_WINDOWS)))

@@ -298,6 +298,23 @@ def test_packing(odd, documents):
     assert packing.pack(odd.limit(0), WORD).count() == 0
 
 
+@pytest.mark.parametrize("capacity", [5000, 2048, 100])
+def test_packing_with_another_capacity(spark, capacity):
+    docs = {1: LONG, 2: "one two", 3: LONG[:3000], 4: None}
+    rows = packing.pack(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), WORD, capacity=capacity).collect()
+    for doc_id, text in docs.items():
+        ids, end = np.array(library_ids(WORD, text) + [2], "<u4"), 0
+        for p in sorted((r for r in rows if r.doc_id == doc_id), key=lambda r: r.start):
+            assert p.start == end and p.ids_crc32 == zlib.crc32(ids[end:end + p.length].tobytes())
+            end += p.length
+        assert end == len(ids)
+    ends = collections.defaultdict(int)
+    for p in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert p.offset == ends[p.sequence_id]
+        ends[p.sequence_id] += p.length
+    assert max(ends.values()) <= capacity
+
+
 def test_differencing_is_nearly_even():
     sizes = np.random.default_rng(5).integers(1, 512, 900)
     window = packing.difference(sizes, 40)
