@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from invoice_lake.llm.storage import discard, settle, small_batches
+from invoice_lake.llm.storage import ROW, discard, numbered, settle, small_batches
 from invoice_lake.llm.words import ALNUM_WORDS, LOWER, constants, grams, mix, rows_of, slabs
 
 WINDOW, GRAM = 10, 5
@@ -159,6 +159,7 @@ def _spans(hits: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that share a window with the benchmark. Rows with one doc_id go together; null doc_id stays."""
-    lost = contamination(docs, benchmark).where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows that share a window with the benchmark. Each row is judged by its own text, whatever its doc_id."""
+    rows = numbered(docs)
+    lost = contamination(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark).where("n_hit > 0")
+    return rows.join(lost.select(F.col("doc_id").alias(ROW)), ROW, "left_anti").select(*docs.columns)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from invoice_lake.llm.components import connected_components
-from invoice_lake.llm.storage import discard, settle, small_batches
+from invoice_lake.llm.storage import ROW, discard, numbered, settle, small_batches
 from invoice_lake.llm.words import BLANK_WORDS, LOWER, Texts, constants, grams, mix, rows_of, slabs
 
 #: 32 bands of 6 minima miss a pair at 0.85 with a chance of 3e-7, and one at 0.3 collides with 2 %.
@@ -265,6 +265,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group of near copies: the one with the smallest doc_id."""
-    lost = near_duplicates(docs, **options).where("not kept").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of each group of near copies: the one with the smallest doc_id, a null one only if all are null.
+
+    Every row is a document of its own here, also with a null doc_id or one that other rows have too.
+    """
+    rows = numbered(docs)
+    found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"), **options)
+    named = found.join(rows.select(F.col(ROW).alias("doc_id"), F.col("doc_id").alias("id")), "doc_id")
+    first = named.groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", F.col("doc_id").alias(ROW))).alias("first"))
+    lost = rows.select(ROW).join(first.select(f"first.{ROW}"), ROW, "left_anti")
+    return rows.join(lost, ROW, "left_anti").select(*docs.columns)

@@ -6,7 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: The column of ``numbered``.
+ROW = "__row"
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -34,6 +37,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).withMetadata(df.columns[0], {"scratch": path})
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` as a scratch table with a number of its own in ``ROW`` for every row, the same each time it is read."""
+    return settle(df.select(F.monotonically_increasing_id().alias(ROW), "*"), "numbered")
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, whose session hands rows to Python in Arrow batches of about 4 MB unless it sets a size of its own.
 

@@ -35,6 +35,21 @@ def test_near_copies_from_80_percent_are_linked(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(range(len(texts))) - set(alike))
 
 
+def test_rows_with_null_or_shared_ids_are_judged_one_by_one(spark):
+    schema = spark.read.parquet(f"{SF_DIR}/documents.parquet").schema
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").where("size(split(trim(text), ' ')) >= 12").first().text
+    rows = [(None, f"before {item} after", "x"), (None, "nothing to see", "a"), (7, item, "x"), (7, "other words", "b"), (8, "last", "c")]
+    docs = spark.createDataFrame([(i, t, "en", mark, len(t)) for i, t, mark in rows], schema)
+    clean = corpus_pipeline.decontamination(spark, docs, SF_DIR)
+    assert clean.schema == docs.schema and sorted(r.source for r in clean.collect()) == ["a", "b", "c"]
+    rows = [(5, "one two"), (5, "one two"), (None, "one two"), (3, "one two"), (None, "three"), (None, "three"), (5, "four"), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema).repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    assert kept.schema == docs.schema
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [
+        ("3", "one two"), ("5", "four"), ("None", ""), ("None", "None"), ("None", "three")]
+
+
 def test_empty_and_null_rows(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     extra = spark.createDataFrame([(None, None, None, None, None), (-5, "", "en", "x", 0), (-6, None, None, None, None)], docs.schema)
