@@ -1,8 +1,8 @@
 """Token ids in Arrow files of equal-length sequences.
 
 A file holds record batches of three fixed-size-list columns: ``ids``, ``mask`` (1: a token, 0: padding) and
-``ends`` (1: the last token of a document). A sequence is found by its number alone and read without a copy from a
-memory map. Documents follow each other in ascending order; only the last sequence of a file is padded. An index
+``ends`` (1: the last token of a document). Masks and ends take a byte each. A sequence is found by its number alone and
+read without a copy from a memory map. Documents follow each other in ascending order; only the last sequence of a file is padded. An index
 table, written with the files, has each document's place.
 """
 
@@ -32,7 +32,7 @@ class SequenceFile:
         system.create_dir(root, recursive=True)
         self.path, self.length, self.kind, self.tokens = f"{folder}/{name}", length, kind, 0
         self.schema = pa.schema([
-            ("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length)), ("ends", pa.list_(pa.bool_(), length))])
+            ("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length)), ("ends", pa.list_(pa.uint8(), length))])
         self.stream = system.open_output_stream(f"{root}/{name}")
         self.writer = ipc.new_file(self.stream, self.schema)
         self.ids: list[np.ndarray] = []
@@ -44,18 +44,19 @@ class SequenceFile:
         self.ends.append(ends)
         self.waiting += len(ids)
         self.tokens += len(ids)
-        if self.waiting >= self.length * BATCH_SEQUENCES:
-            self._write(self.waiting - self.waiting % self.length)
+        batch = self.length * BATCH_SEQUENCES  # all batches but the last are full: sequence() finds its batch by division
+        if self.waiting >= batch:
+            self._write(self.waiting - self.waiting % batch)
 
     def _write(self, n: int) -> None:
         ids, ends = np.concatenate(self.ids), np.concatenate(self.ends)
         self.ids, self.ends, self.waiting = [ids[n:]], [ends[n:]], len(ids) - n
         pad = -n % self.length if n == len(ids) else 0
-        mask = np.concatenate([np.ones(n, bool), np.zeros(pad, bool)])
+        mask = np.concatenate([np.ones(n, np.uint8), np.zeros(pad, np.uint8)])
         filled = np.concatenate([ids[:n], np.zeros(pad, ids.dtype)])
-        marks = np.concatenate([ends[:n], np.zeros(pad, bool)])
+        marks = np.concatenate([ends[:n], np.zeros(pad, np.uint8)])
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(v, t), self.length)
-                   for v, t in ((filled, self.kind), (mask, pa.bool_()), (marks, pa.bool_()))]
+                   for v, t in ((filled, self.kind), (mask, pa.uint8()), (marks, pa.uint8()))]
         for at in range(0, len(columns[0]), BATCH_SEQUENCES):
             self.writer.write_batch(pa.RecordBatch.from_arrays([c.slice(at, BATCH_SEQUENCES) for c in columns], schema=self.schema))
 
@@ -81,7 +82,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: in
         stops = begins[1:] + np.arange(1, len(begins))
         sizes = np.diff(begins) + 1
         ids = np.insert(flat, begins[1:], end_id).astype(np.uint16 if small else np.uint32)
-        ends = np.zeros(len(ids), bool)
+        ends = np.zeros(len(ids), np.uint8)
         ends[stops - 1] = True
         starts = file.tokens + stops - sizes
         file.add(ids, ends)
@@ -116,13 +117,13 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sequence(path: str, number: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of one sequence; on a local file without copying the ids."""
+    """Ids and mask of one sequence; on a local file without copying either."""
     system, root = fs.FileSystem.from_uri(path)
     source = pa.memory_map(root) if isinstance(system, fs.LocalFileSystem) else system.open_input_file(root)
     batch = ipc.open_file(source).get_batch(number // BATCH_SEQUENCES)
     row = number % BATCH_SEQUENCES
     ids, mask = batch.column("ids")[row].values, batch.column("mask")[row].values
-    return ids.to_numpy(zero_copy_only=True), mask.to_numpy(zero_copy_only=False)
+    return ids.to_numpy(zero_copy_only=True), mask.to_numpy(zero_copy_only=True)
 
 
 def _digest(group: pa.Table) -> pa.Table:
@@ -132,7 +133,7 @@ def _digest(group: pa.Table) -> pa.Table:
     with system.open_input_file(root) as source:
         table = ipc.open_file(source).read_all()
     flat = lambda name: table[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    mask, ids, ends = flat("mask"), flat("ids"), flat("ends")
+    mask, ids, ends = flat("mask").view(bool), flat("ids"), flat("ends")
     ids = ids[mask].astype("<u4")
     stops = np.flatnonzero(ends[mask]) + 1
     starts = np.concatenate([[0], stops[:-1]])

@@ -344,6 +344,16 @@ def test_token_files(spark, odd, documents):
     assert token_files.read_token_files(nothing).count() == 0
 
 
+def test_masks_are_read_without_a_copy(spark):
+    docs = spark.createDataFrame([(1, LONG), (2, "two words")], "doc_id long, text string").coalesce(1)
+    index = token_files.write_token_files(docs, scratch_path(spark, "test-tokens"), WORD)
+    for file, total in index.groupBy("file").agg(F.sum("n_tokens")).collect():
+        for number in range(-(-total // token_files.LENGTH)):
+            ids, mask = token_files.sequence(file, number)
+            assert not ids.flags.owndata and not mask.flags.owndata
+            assert mask.tolist() == [int(number * token_files.LENGTH + i < total) for i in range(token_files.LENGTH)]
+
+
 def test_sharding(spark, odd, documents):
     for docs, size in ((odd, 1 << 20), (documents, 40_000)):
         written = [sharding.write_shards(docs, scratch_path(spark, "test-shards"), bucket_bytes=size) for _ in range(2)]
