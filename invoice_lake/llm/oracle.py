@@ -48,4 +48,32 @@ SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, s.doc_id =
 FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
-STATEMENTS = {"op4_winnowing": WINNOWING, "op6_typed_chats": CHATS, "op8_minhash": MINHASH}
+#: crc32 of an ASCII text, bit by bit.
+_CRC = """(list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b:
+  list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x // 2, (x % 2) * 3988292384))))"""
+
+TRIE = rf"""
+WITH t AS (SELECT conv_id, octet_length(encode(coalesce(text, ''))) AS bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')), octet_length(encode(coalesce(text, '')))) AS k,
+    md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS token
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS head, xor({_CRC.format("CAST(conv_id AS VARCHAR)")}, 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+turns AS (SELECT c.conv_id, k, token, bytes FROM c JOIN t ON t.conv_id = c.head AND k <= h
+  UNION ALL SELECT c.conv_id, k, token, bytes FROM c JOIN t ON t.conv_id = c.conv_id AND k > h),
+s AS (SELECT c.conv_id, coalesce(list(token ORDER BY k) FILTER (k IS NOT NULL), []) AS seq, coalesce(list(bytes ORDER BY k) FILTER (k IS NOT NULL), []) AS sizes
+  FROM c LEFT JOIN turns USING (conv_id) GROUP BY c.conv_id),
+p AS (SELECT conv_id, d, array_to_string(seq[1:d], '') AS key, CASE WHEN d = 0 THEN NULL ELSE array_to_string(seq[1:d - 1], '') END AS above,
+    coalesce(sizes[d], 0) AS bytes, d = len(seq) AS ended FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM s)),
+n AS (SELECT key, any_value(above) AS above, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '')) AS ends FROM p GROUP BY key),
+k AS (SELECT above AS key, count(*) AS n_children FROM n WHERE above IS NOT NULL GROUP BY above),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (key)),
+sums AS (SELECT p.key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * f.bytes) AS saved
+  FROM f JOIN p ON p.conv_id = f.conv_id AND p.d <= f.d GROUP BY p.key)
+SELECT f.conv_id, f.d AS depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, f.ends AS ends_sha256
+FROM f JOIN sums USING (key) LEFT JOIN n u ON u.key = f.above
+"""
+
+STATEMENTS = {"op4_winnowing": WINNOWING, "op6_typed_chats": CHATS, "op8_minhash": MINHASH, "op11_peeled_trie": TRIE}

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoice_lake.llm import (
-    chat, decontamination, language_id, minhash_dedup, packing, quality_classifier, quality_rules, sharding, token_counts,
-    token_files,
+    chat, decontamination, language_id, minhash_dedup, packing, prefix_trie, quality_classifier, quality_rules, sharding,
+    token_counts, token_files,
 )
 from invoice_lake.llm.learning import held_out
 from invoice_lake.llm.storage import scratch_path, settle
@@ -84,6 +84,10 @@ def language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
 
 
+def peeled_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.regrown_paths(_table(spark, sf_dir, "conversations")))
+
+
 REGISTRY = {
     "op1_quality_neighbours": quality_neighbours,
     "op2_differencing_packing": differencing_packing,
@@ -95,4 +99,5 @@ REGISTRY = {
     "op8_minhash": minhash,
     "op9_ngram_quality_rules": ngram_quality_rules,
     "op10_language_centroids": language_centroids,
+    "op11_peeled_trie": peeled_trie,
 }
