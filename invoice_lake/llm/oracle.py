@@ -76,4 +76,19 @@ SELECT f.conv_id, f.d AS depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_chil
 FROM f JOIN sums USING (key) LEFT JOIN n u ON u.key = f.above
 """
 
-STATEMENTS = {"op4_winnowing": WINNOWING, "op6_typed_chats": CHATS, "op8_minhash": MINHASH, "op11_peeled_trie": TRIE}
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+totals AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, totals GROUP BY term, n),
+parts AS (SELECT r, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w) * n) // l))) AS part
+  FROM tf JOIN weights USING (term) JOIN d USING (r), totals),
+scores AS (SELECT item_id, doc_id, r, CAST(sum(part) AS BIGINT) AS score FROM q JOIN parts USING (term) GROUP BY item_id, doc_id, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (
+  PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0) WHERE rank <= 50
+"""
+
+STATEMENTS = {"op4_winnowing": WINNOWING, "op6_typed_chats": CHATS, "op8_minhash": MINHASH, "op11_peeled_trie": TRIE, "op12_shared_search": SEARCH}

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoice_lake.llm import (
-    chat, decontamination, language_id, minhash_dedup, packing, prefix_trie, quality_classifier, quality_rules, sharding,
-    token_counts, token_files,
+    chat, decontamination, language_id, lexical_search, minhash_dedup, packing, prefix_trie, quality_classifier, quality_rules,
+    sharding, token_counts, token_files,
 )
 from invoice_lake.llm.learning import held_out
 from invoice_lake.llm.storage import scratch_path, settle
@@ -88,6 +88,10 @@ def peeled_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.regrown_paths(_table(spark, sf_dir, "conversations")))
 
 
+def shared_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY = {
     "op1_quality_neighbours": quality_neighbours,
     "op2_differencing_packing": differencing_packing,
@@ -100,4 +104,5 @@ REGISTRY = {
     "op9_ngram_quality_rules": ngram_quality_rules,
     "op10_language_centroids": language_centroids,
     "op11_peeled_trie": peeled_trie,
+    "op12_shared_search": shared_search,
 }
