@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +43,21 @@ def connected_components(links: DataFrame) -> DataFrame:
         discard(before)
     roots = edges.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
     return edges.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(roots)
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Places of the pairs (a, b) that join two parts which no earlier pair has joined."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    keep = []
+    for place, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            keep.append(place)
+    return keep

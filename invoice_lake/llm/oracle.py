@@ -33,21 +33,27 @@ SELECT conv_id, count(*) AS n_turns,
 FROM m GROUP BY conv_id
 """
 
-MINHASH = rf"""
+def _components(words: int, percent: int, kept: str) -> str:
+    """Components of texts linked by shingles of so many words."""
+    return rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
-sets AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda p: array_to_string(w[p:p + 4], ' ')))
+sets AS (SELECT doc_id, CASE WHEN len(w) >= {words}
+  THEN list_distinct(list_transform(range(1, len(w) - {words - 2}), lambda p: array_to_string(w[p:p + {words - 1}], ' ')))
   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM d),
 shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
 shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b
   ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (SELECT x, y FROM shared JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
-  WHERE 100 * n >= 85 * (len(a.s) + len(b.s) - n)),
+  WHERE 100 * n >= {percent} * (len(a.s) + len(b.s) - n)),
 ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.y FROM reach r JOIN ways l ON r.other = l.x)
-SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id{kept}
 FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
+
+MINHASH, JACCARD = _components(5, 85, ", s.doc_id = component_id AS kept"), _components(3, 90, "")
+
 #: crc32 of an ASCII text, bit by bit.
 _CRC = """(list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b:
   list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x // 2, (x % 2) * 3988292384))))"""
@@ -91,4 +97,5 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row
   PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0) WHERE rank <= 50
 """
 
-STATEMENTS = {"op4_winnowing": WINNOWING, "op6_typed_chats": CHATS, "op8_minhash": MINHASH, "op11_peeled_trie": TRIE, "op12_shared_search": SEARCH}
+STATEMENTS = {"op4_winnowing": WINNOWING, "op6_typed_chats": CHATS, "op8_minhash": MINHASH, "op11_peeled_trie": TRIE, "op12_shared_search": SEARCH,
+              "op13_skipping_jaccard": JACCARD}

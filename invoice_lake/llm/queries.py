@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from invoice_lake.llm import (
-    chat, decontamination, language_id, lexical_search, minhash_dedup, packing, prefix_trie, quality_classifier, quality_rules,
-    sharding, token_counts, token_files,
+    chat, decontamination, jaccard_join, language_id, lexical_search, minhash_dedup, packing, prefix_trie, quality_classifier,
+    quality_rules, sharding, token_counts, token_files,
 )
 from invoice_lake.llm.learning import held_out
 from invoice_lake.llm.storage import scratch_path, settle
@@ -92,6 +92,10 @@ def shared_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def skipping_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_quality_neighbours": quality_neighbours,
     "op2_differencing_packing": differencing_packing,
@@ -105,4 +109,5 @@ REGISTRY = {
     "op10_language_centroids": language_centroids,
     "op11_peeled_trie": peeled_trie,
     "op12_shared_search": shared_search,
+    "op13_skipping_jaccard": skipping_jaccard,
 }
