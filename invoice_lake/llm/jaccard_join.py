@@ -147,19 +147,33 @@ def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[pa.
         yield table, np.append(begins(table), table.num_rows)
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index rows without repeats, and without those of lists that hold one set only."""
+def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Index rows without repeats that have a partner in their list, as far as sizes and positions tell.
+
+    Rows of a list that is dealt to several tasks are all kept.
+    """
     for table, starts in _groups(batches, "token", "part"):
         node = table["node"].to_numpy()
         fresh = np.ones(len(node), bool)
         fresh[1:] = node[1:] != node[:-1]
         fresh[starts[:-1]] = True
-        group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        several = np.bincount(group[fresh], minlength=len(starts) - 1) > 1
-        keep = fresh & (several[group] | (table["parts"].to_numpy() > 1))
+        group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[fresh]
+        table = table.filter(pa.array(fresh))
+        pos, n, keep = table["pos"].to_numpy(), table["n"].to_numpy(), table["parts"].to_numpy() > 1
+        sizes = np.where(keep[np.searchsorted(group, np.arange(len(starts) - 1))], 0, np.bincount(group, minlength=len(starts) - 1))
+        first = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=len(starts) - 1))])
+        for i, j in _pairs(first[:-1], sizes, pos, n, percent):
+            ok = _may_link(pos, n, i, j, percent)
+            keep[i[ok]] = keep[j[ok]] = True
         yield from table.select(["token", "node", "n", "pos"]).filter(pa.array(keep)).combine_chunks().to_batches()
 
 
+def _may_link(pos: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and positions leave a link of rows i and j possible."""
+    alike = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+    return alike & (pos[i] + pos[j] <= most_unlike(n[i] + n[j], percent))
+
+
 def _fold(bitmaps: np.ndarray) -> np.ndarray:
     """Bitmaps of half as many bits."""
     half = bitmaps.shape[1] // 2
@@ -198,16 +212,15 @@ def _tiles(pos: np.ndarray, n: np.ndarray, percent: int) -> Iterator[tuple[np.nd
             yield parts[a][i], parts[b][j]
 
 
-def _pairs(starts: np.ndarray, pos: np.ndarray, n: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs(starts: np.ndarray, sizes: np.ndarray, pos: np.ndarray, n: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows within each group: those of many small groups at once, those of a large one by tiles."""
-    sizes = np.diff(starts)
     for g in np.flatnonzero(sizes > TILE):
-        own = slice(starts[g], starts[g + 1])
+        own = slice(starts[g], starts[g] + sizes[g])
         for i, j in _tiles(pos[own], n[own], percent):
             yield starts[g] + i, starts[g] + j
     for size in np.unique(sizes[(sizes > 1) & (sizes <= TILE)]):
         i, j = np.triu_indices(size, 1)
-        begins = starts[:-1][sizes == size]
+        begins = starts[sizes == size]
         for lo in range(0, len(begins), max(1, STEP_PAIRS // len(i))):
             part = begins[lo:lo + max(1, STEP_PAIRS // len(i)), None]
             yield (part + i).ravel(), (part + j).ravel()
@@ -219,10 +232,10 @@ def _open_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
         pos, n, component = (table[c].to_numpy() for c in ("pos", "n", "component"))
         unlike = table["unlike"].fill_null(-1).to_numpy()
         bitmaps, found = table["bitmap"].to_pylist(), np.zeros(table.num_rows, bool)
-        for i, j in _pairs(starts, pos, n, percent):
+        for i, j in _pairs(starts[:-1], np.diff(starts), pos, n, percent):
             most = most_unlike(n[i] + n[j], percent)
             known = (unlike[i] >= 0) & (unlike[j] >= 0)
-            ok = (component[i] != component[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (pos[i] + pos[j] <= most)
+            ok = (component[i] != component[j]) & _may_link(pos, n, i, j, percent)
             ok &= ~known | (np.abs(unlike[i] - unlike[j]) <= most)
             i, j, most = i[ok], j[ok], most[ok]
             close = _unlike_bits([bitmaps[x] for x in i], [bitmaps[x] for x in j]) <= most
@@ -347,7 +360,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE
     entries = indexed.select("node", F.col("n_shingles").cast("int").alias("n"), F.posexplode("tokens").alias("pos", "t")).select(
         "t.token", F.pmod("node", "t.parts").cast("int").alias("part"), "t.parts", "node", "n", "pos")
     lists = settle(entries.repartition("token", "part").sortWithinPartitions("token", "part", "node").mapInArrow(
-        _lists, "token long, node long, n int, pos int"), "lists")
+        lambda batches: _lists(batches, percent), "token long, node long, n int, pos int"), "lists")
 
     pairs = settle(_close_pairs(lists, nodes, percent), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
