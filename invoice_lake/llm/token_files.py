@@ -1,9 +1,9 @@
 """Token ids in Arrow files of equal-length sequences.
 
 A file holds record batches of three fixed-size-list columns: ``ids``, ``mask`` (1: a token, 0: padding) and
-``ends`` (1: the last token of a document). Masks and ends take a byte each. A sequence is found by its number alone and
-read without a copy from a memory map. Documents follow each other in ascending order; only the last sequence of a file is padded. An index
-table, written with the files, has each document's place.
+``ends`` (1: the last token of a document). Masks and ends are packed, eight flags a byte, lowest bit first. A sequence is found by
+its number alone and read without a copy from a memory map; ``flags`` unpacks its mask. Documents follow each other in ascending
+order; only the last sequence of a file is padded. An index table, written with the files, has each document's place.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ class SequenceFile:
         system.create_dir(root, recursive=True)
         self.path, self.length, self.kind, self.tokens = f"{folder}/{name}", length, kind, 0
         self.schema = pa.schema([
-            ("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length)), ("ends", pa.list_(pa.uint8(), length))])
+            ("ids", pa.list_(kind, length)), *((name, pa.list_(pa.uint8(), -(-length // 8))) for name in ("mask", "ends"))])
         self.stream = system.open_output_stream(f"{root}/{name}")
         self.writer = ipc.new_file(self.stream, self.schema)
         self.ids: list[np.ndarray] = []
@@ -55,8 +55,9 @@ class SequenceFile:
         mask = np.concatenate([np.ones(n, np.uint8), np.zeros(pad, np.uint8)])
         filled = np.concatenate([ids[:n], np.zeros(pad, ids.dtype)])
         marks = np.concatenate([ends[:n], np.zeros(pad, np.uint8)])
-        columns = [pa.FixedSizeListArray.from_arrays(pa.array(v, t), self.length)
-                   for v, t in ((filled, self.kind), (mask, pa.uint8()), (marks, pa.uint8()))]
+        packed = [np.packbits(x.reshape(-1, self.length), axis=1, bitorder="little") for x in (mask, marks)]
+        columns = [pa.FixedSizeListArray.from_arrays(pa.array(filled, self.kind), self.length),
+                   *(pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]) for x in packed)]
         for at in range(0, len(columns[0]), BATCH_SEQUENCES):
             self.writer.write_batch(pa.RecordBatch.from_arrays([c.slice(at, BATCH_SEQUENCES) for c in columns], schema=self.schema))
 
@@ -99,11 +100,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     """Write the ids of all ``docs`` (doc_id, text) in ascending doc_id order to ``folder``; returns the index.
 
     A document's ids are those of its whole text plus ``end_id``; null and empty texts have that id alone. A null
-    doc_id comes first; rows with equal doc_id are ordered by text. The index (doc_id, file, part, number, place,
+    doc_id comes first; rows with equal doc_id are ordered by a hash of their text, and may fall into several tasks. The index (doc_id, file, part, number, place,
     n_tokens) names only files of tasks that ended well. ``folder`` is an absolute path or a URI that Arrow can write
     to from every executor. No rows give no files.
     """
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = "doc_id", F.xxhash64("text")
+    ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     kind = docs.schema["doc_id"].dataType.simpleString()
     index = ordered.mapInArrow(
         lambda batches: _write(batches, f"{folder}/files", tokenizer_path, end_id, length),
@@ -117,7 +119,7 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sequence(path: str, number: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of one sequence; on a local file without copying either."""
+    """Ids and packed mask of one sequence; on a local file without copying either."""
     system, root = fs.FileSystem.from_uri(path)
     source = pa.memory_map(root) if isinstance(system, fs.LocalFileSystem) else system.open_input_file(root)
     batch = ipc.open_file(source).get_batch(number // BATCH_SEQUENCES)
@@ -126,6 +128,12 @@ def sequence(path: str, number: int, length: int = LENGTH) -> tuple[np.ndarray,
     return ids.to_numpy(zero_copy_only=True), mask.to_numpy(zero_copy_only=True)
 
 
+def flags(packed: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """Packed masks or ends as one boolean a token, sequence by sequence."""
+    rows = packed.reshape(-1, -(-length // 8))
+    return np.unpackbits(rows, axis=1, count=length, bitorder="little").astype(bool).ravel()
+
+
 def _digest(group: pa.Table) -> pa.Table:
     """crc32 of each document's ids, read from the group's file."""
     group = group.sort_by("place")
@@ -133,7 +141,8 @@ def _digest(group: pa.Table) -> pa.Table:
     with system.open_input_file(root) as source:
         table = ipc.open_file(source).read_all()
     flat = lambda name: table[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    mask, ids, ends = flat("mask").view(bool), flat("ids"), flat("ends")
+    length = table.schema.field("ids").type.list_size
+    ids, mask, ends = flat("ids"), flags(flat("mask"), length), flags(flat("ends"), length)
     ids = ids[mask].astype("<u4")
     stops = np.flatnonzero(ends[mask]) + 1
     starts = np.concatenate([[0], stops[:-1]])
