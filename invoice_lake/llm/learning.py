@@ -19,20 +19,25 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 5 == 0, F.lit(True))
 
 
+def share_of(key: str, seed: int) -> Column:
+    """A number from 0 to 1 by the 64-bit hash of ``key``: a share of the keys lies below it, however small the share."""
+    return F.xxhash64(F.lit(seed), key) / F.lit(2.0**64) + 0.5
+
+
 def sample_below(rows: DataFrame, key: str, bound: int) -> DataFrame:
     """About ``bound`` rows of ``rows``, all if there are fewer, chosen by a hash of ``key`` and so always the same."""
-    share = min(1.0, bound / max(1, rows.count()))
-    return rows.where(F.abs(F.xxhash64(F.lit(41), key) % 1_000_000) < int(share * 1_000_000))
+    return rows.where(share_of(key, 41) <= min(1.0, bound / max(1, rows.count())))
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
     """(doc_id, text, label) of about ``bound`` labelled documents outside the held-out fold.
 
-    A doc_id labelled more than once counts once, with its lowest label. The labels are cut down to the bound first, so
-    the join sends a small side to the documents.
+    A doc_id labelled more than once counts once, with its lowest label; one with several rows gives its first text in order, so
+    the bound holds for the joined rows. The labels are cut down to it first, and the join sends a small side to the documents.
     """
     known = labels.where(F.col(label).isNotNull() & ~held_out()).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
-    return docs.select("doc_id", "text").join(F.broadcast(sample_below(known, "doc_id", bound)), "doc_id")
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(sample_below(known, "doc_id", bound)), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch], width: int, features: Callable[[Texts, int], np.ndarray]):
