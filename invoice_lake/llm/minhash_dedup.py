@@ -246,8 +246,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
         "doc_id", F.xxhash64("place", "key").alias("band"))
     shared = banded.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
     members = settle(banded.join(shared.select("band"), "band").distinct(), "members")
-    sets = settle(
-        source.join(members.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
+    wanted = source.join(members.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = settle(  # repeated rows give one set
+        wanted.groupBy("doc_id", F.xxhash64("text").alias("hash")).agg(F.first("text").alias("text")).mapInArrow(
             _list_sets, "doc_id long, shingles array<long>"), "sets")
 
     links = settle(_confirmed(_star_pairs(members, nodes, percent, width), sets, percent), "links")
