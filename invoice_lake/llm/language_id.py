@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from invoice_lake.llm.features import damp, letter_grams
-from invoice_lake.llm.learning import features_of, inverse_frequencies
-from invoice_lake.llm.storage import small_batches
+from invoice_lake.llm.learning import features_of, inverse_frequencies, share_of
+from invoice_lake.llm.storage import small_batches, with_fields
 from invoice_lake.llm.words import Texts, slabs
 
 #: Slots of the n-gram vectors, centroids per language, and the bound on the documents that each language's are fitted to.
@@ -50,6 +50,7 @@ def _cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def _fit_language(group: pa.Table, weights: np.ndarray) -> pa.Table:
+    group = group.sort_by("doc_id")  # the same result in whatever order the rows come
     rows = features_of(group.select(["text"]), len(weights), letter_grams, lambda counts: damp(counts, weights))
     rows = rows[rows.any(axis=1)]
     centroids = _cluster(rows, CENTROIDS) if len(rows) else np.zeros((0, len(weights)), np.float32)
@@ -64,7 +65,7 @@ def fit_languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Language
     """Centroids learned from (doc_id, text, lang) rows with a language.
 
     Document frequencies cover all rows. Each language is clustered in a task of its own, on about ``per_language``
-    rows chosen by a hash of the id. Only the centroids reach the driver.
+    ids chosen by a hash, with one row each. Only the centroids reach the driver.
     """
     known = docs.where("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     weights = inverse_frequencies(known, WIDTH, letter_grams)
@@ -75,9 +76,8 @@ def fit_languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Language
         return LanguageModel(weights, np.zeros((0, WIDTH), np.float32), [], np.zeros(0))
     rates = [(r["lang"], min(1.0, per_language / r["count"])) for r in counts]
     shares = docs.sparkSession.createDataFrame(rates, "lang string, share double")
-    chosen = known.join(F.broadcast(shares), "lang").where(
-        F.abs(F.xxhash64(F.lit(43), "doc_id") % 1_000_000) < F.col("share") * 1_000_000)
-    fitted = chosen.select("lang", "text").groupBy("lang").applyInArrow(
+    chosen = known.join(F.broadcast(shares), "lang").where(share_of("doc_id", 43) <= F.col("share"))
+    fitted = chosen.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).groupBy("lang").applyInArrow(
         lambda group: _fit_language(group, weights), "lang string, cutoff double, centroid binary")
     rows = sorted(fitted.collect(), key=lambda r: (r["lang"], bytes(r["centroid"])))
     centroids = np.array([np.frombuffer(r["centroid"], np.float32) for r in rows], np.float32).reshape(-1, WIDTH)
@@ -116,7 +116,6 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop("lang_pred", "lang_score", "lang_rejected")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return small_batches(kept).mapInArrow(
         lambda batches: _predict(batches, shared.value),
-        f"{fields}, lang_pred string, lang_score double, lang_rejected boolean")
+        with_fields(kept.schema, "lang_pred string, lang_score double, lang_rejected boolean"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from invoice_lake.llm.features import damp_halves, word_and_byte_grams
 from invoice_lake.llm.learning import features_of, inverse_frequencies, labelled_texts
-from invoice_lake.llm.storage import small_batches
+from invoice_lake.llm.storage import small_batches, with_fields
 from invoice_lake.llm.words import slabs
 
 #: Slots of the TF-IDF vectors, latent dimensions, neighbours that vote, and the bound on labelled rows (4 MB of vectors).
@@ -111,6 +111,5 @@ def score_quality(docs: DataFrame, model: NeighbourModel) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop("quality_score", "quality_predicted")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return small_batches(kept).mapInArrow(
-        lambda batches: _score(batches, shared.value), f"{fields}, quality_score double, quality_predicted int")
+        lambda batches: _score(batches, shared.value), with_fields(kept.schema, "quality_score double, quality_predicted int"))

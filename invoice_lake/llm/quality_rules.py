@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from invoice_lake.llm.features import damp_halves, word_and_byte_grams
 from invoice_lake.llm.learning import features_of, labelled_texts
-from invoice_lake.llm.storage import small_batches
+from invoice_lake.llm.storage import small_batches, with_fields
 from invoice_lake.llm.words import BLANK_WORDS, Texts, grams, hash_spans, rows_of, slabs
 
 #: Slots of the n-gram vectors, the bound on labelled rows to learn from, and the fixed thresholds.
@@ -153,8 +153,7 @@ def judge(docs: DataFrame, model: QualityModel) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop(*ADDED)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return small_batches(kept).mapInArrow(
         lambda batches: _judge(batches, shared.value),
-        f"{fields}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "base_failed boolean, quality_probability double, quality_kept boolean")
+        with_fields(kept.schema, "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+                                 "base_failed boolean, quality_probability double, quality_kept boolean"))

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from invoice_lake.llm.storage import with_fields
+
 SHARDS, SEED, BUCKET_BYTES = 24, 20_241, 32 << 20
 
 
@@ -61,9 +63,8 @@ def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS, seed: int =
     shared = docs.sparkSession.sparkContext.broadcast(np.concatenate([[0], np.cumsum(counts)]))
     scattered = records.select("record", bucket).repartitionById(buckets, "bucket").sortWithinPartitions(
         "bucket", "record.doc_id", F.xxhash64("record.text"))
-    kind = records.schema["record"].dataType.simpleString()
     placed = scattered.mapInArrow(
-        lambda batches: _place(batches, shared.value, shards, seed), f"record {kind}, shard int, slot long")
+        lambda batches: _place(batches, shared.value, shards, seed), with_fields(records.schema, "shard int, slot long"))
     placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
     return read_shards(docs.sparkSession, folder, placed.schema)
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The column of ``numbered``.
 ROW = "__row"
@@ -42,6 +43,11 @@ def numbered(df: DataFrame) -> DataFrame:
     return settle(df.select(F.monotonically_increasing_id().alias(ROW), "*"), "numbered")
 
 
+def with_fields(schema: StructType, added: str) -> StructType:
+    """``schema`` and the fields of a DDL string behind it; field names of any spelling, also inside structs, stay as they are."""
+    return StructType([*schema.fields, *StructType.fromDDL(added).fields])
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, whose session hands rows to Python in Arrow batches of about 4 MB unless it sets a size of its own.
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from invoice_lake.llm.storage import small_batches
+from invoice_lake.llm.storage import small_batches, with_fields
 from invoice_lake.llm.tokens import byte_ids, tokenizer
 from invoice_lake.llm.words import Texts, slabs
 
@@ -94,6 +94,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, chunk: int = CHUNK) -> Da
     texts have none. Columns of these names are replaced. Rows are neither moved nor merged; no rows give no rows.
     """
     kept = docs.drop("n_bytes", "n_tokens", "over_limit")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return small_batches(kept).mapInArrow(
-        lambda batches: _count(batches, tokenizer_path, chunk), f"{fields}, n_bytes long, n_tokens long, over_limit boolean")
+        lambda batches: _count(batches, tokenizer_path, chunk),
+        with_fields(kept.schema, "n_bytes long, n_tokens long, over_limit boolean"))

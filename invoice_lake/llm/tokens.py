@@ -1,7 +1,7 @@
 """Exact token ids of whole texts from a tokenizers file, encoding each distinct piece of text once per worker.
 
 A text is cut only where the tokenizer itself always cuts, so the ids of the pieces, one after another, are the
-ids of the text (``tests/llm/test_tokens.py`` compares whole texts). Texts that hold a special string or white
+ids of the text (``tests/llm/test_text_operators.py`` compares whole texts). Texts that hold a special string or white
 space beyond ASCII are encoded whole by the library instead; nothing is left out.
 """
 

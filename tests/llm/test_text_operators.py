@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from compare import connect, difference
 from invoice_lake.llm import (
-    chat, decontamination, language_id, minhash_dedup, packing, quality_classifier, quality_rules, queries, sharding, token_counts,
+    chat, decontamination, language_id, learning, minhash_dedup, packing, quality_classifier, quality_rules, queries, sharding, token_counts,
     token_files, tokens,
 )
 from invoice_lake.llm.components import connected_components
@@ -339,7 +339,7 @@ def test_token_files(spark, odd, documents):
         assert out == expected
     first = index.orderBy("part", "number", "place").first()
     ids, mask = token_files.sequence(first.file, 0)
-    assert len(ids) == token_files.LENGTH == len(mask) and not ids.flags.owndata
+    assert len(ids) == token_files.LENGTH == 8 * len(mask) and not ids.flags.owndata
     nothing = token_files.write_token_files(odd.limit(0), scratch_path(spark, "test-tokens"), WORD)
     assert token_files.read_token_files(nothing).count() == 0
 
@@ -351,7 +351,55 @@ def test_masks_are_read_without_a_copy(spark):
         for number in range(-(-total // token_files.LENGTH)):
             ids, mask = token_files.sequence(file, number)
             assert not ids.flags.owndata and not mask.flags.owndata
-            assert mask.tolist() == [int(number * token_files.LENGTH + i < total) for i in range(token_files.LENGTH)]
+            assert token_files.flags(mask).tolist() == [number * token_files.LENGTH + i < total for i in range(token_files.LENGTH)]
+
+
+def test_equal_ids_are_split_over_files_in_order(spark):
+    docs = spark.createDataFrame([(5, f"text number {i}") for i in range(400)], "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    index = token_files.write_token_files(docs, scratch_path(spark, "test-tokens"), WORD)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert index.select("file").distinct().count() == 4
+    out = sorted((r.start, r.n_tokens) for r in token_files.read_token_files(index).collect())
+    assert len(out) == 400 and all(a + n == b for (a, n), (b, _) in zip(out, out[1:]))
+
+
+def test_one_labelled_id_on_many_rows_keeps_the_bound(spark):
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(5000)] + [(i, "x") for i in range(2, 200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 200)], "doc_id long, quality int")
+    found = learning.labelled_texts(docs, labels, "quality", 10**6).collect()
+    assert len(found) == len({r.doc_id for r in found}) > 100
+    assert 0 < learning.labelled_texts(docs, labels, "quality", 20).count() < 60
+    many = spark.range(10**6).select(F.col("id").alias("doc_id"))
+    assert 0 < learning.sample_below(many, "doc_id", 5).count() < 30
+
+
+def test_repeated_near_copies_are_confirmed_once(spark):
+    words = [f"w{i}" for i in range(60)]
+    a, b = " ".join(words), " ".join(words + ["end"])
+    docs = spark.createDataFrame([(1, a), (2, b)] * 1000, "doc_id long, text string").repartition(4)
+    sizes = {}
+    settle = minhash_dedup.settle
+
+    def counted(df, name):
+        out = settle(df, name)
+        sizes.setdefault(name, out.count())
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(minhash_dedup, "settle", counted)
+        found = minhash_dedup.near_duplicates(docs).select("component_id").distinct().collect()
+    assert [r.component_id for r in found] == [1] and sizes["sets"] == 2 and sizes["links"] == 1
+
+
+def test_struct_fields_of_any_name(spark, documents, labels):
+    docs = documents.limit(50).select("doc_id", "text", "lang", F.col("n_chars").alias("n-chars"), F.struct(F.col("doc_id").alias("a b"), F.col("source").alias("c-d")).alias("odd x"))
+    for out in (
+        token_counts.count_tokens(docs, BYTE), sharding.write_shards(docs, scratch_path(spark, "test-shards")),
+        quality_classifier.score_quality(docs, quality_classifier.fit_neighbours(documents, labels)),
+        quality_rules.judge(docs, quality_rules.fit_quality(documents, labels)), language_id.identify(docs, language_id.fit_languages(documents)),
+    ):
+        assert out.count() == 50
 
 
 def test_sharding(spark, odd, documents):
