@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,6 +142,11 @@ def items_by_code(items: DataFrame, mapping: DataFrame, only_year: int | None =
     totals = items.groupBy(
         year().alias("ano"), "codigo_ncm_sh", F.col("descricao_do_produto_servico").alias("descricao")
     ).agg(F.sum("valor_total").alias("total"))
+    return typed_codes(totals, mapping)
+
+
+def typed_codes(totals: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Sums per year, code and description (ano, codigo_ncm_sh, descricao, total) with the code's type."""
     return join_codes(totals, mapping, "left").select(
         "ano",
         F.col("codigo_ncm_sh").alias("ncm"),
@@ -200,6 +205,13 @@ def chain_detail(chain_items: DataFrame, years: Sequence[int], limit: int | None
     return groups if limit is None else groups.limit(limit)
 
 
+def largest_per_chain(groups: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` largest groups of every chain; each task hands on no more than that of any chain."""
+    order = [F.desc_nulls_last("valor_total"), *[F.asc_nulls_last(c) for c in DETAIL_KEY]]
+    place = F.row_number().over(Window.partitionBy("codigo_cadeia").orderBy(*order))
+    return groups.withColumn("_place", place).filter(F.col("_place") <= limit).drop("_place")
+
+
 def chain_by_cnae(chain_items: DataFrame, years: Sequence[int]) -> DataFrame:
     """One row per chain and CNAE. Build the input with dedup=("codigo_cadeia", "cnae")."""
     return chain_items.groupBy(*CNAE_KEY).agg(
@@ -236,7 +248,12 @@ def keyword_mart(
 
     The patterns run once per distinct description and code, after the aggregation.
     """
-    totals = items_by_code(items, mapping).withColumn("_texto", normalize_text(F.col("descricao")))
+    return flagged(items_by_code(items, mapping), patterns)
+
+
+def flagged(totals: DataFrame, patterns: dict[str, str] = KEYWORD_PATTERNS) -> DataFrame:
+    """The sums of ``items_by_code`` with a flag per keyword found in the description."""
+    totals = totals.withColumn("_texto", normalize_text(F.col("descricao")))
     flags = word_flags(F.col("_texto"), patterns)
     return totals.select("ano", "ncm", "tipo_ncm", "ncm_mapeada", *flags, "descricao", "total")
 

@@ -143,6 +143,52 @@ def join_keywords(
     return df.withColumn(out, F.explode_outer(found_keywords(text, keywords, needles)))
 
 
+def _runs(text: Column, lengths: Sequence[int]) -> Column:
+    """Distinct runs of the given numbers of characters. The text is cut to characters once, so that long ones cost no more each."""
+    def of(chars: Column) -> Column:
+        def runs(k: int) -> Column:
+            whole = F.transform(F.sequence(F.lit(0), F.size(chars) - k), lambda i: F.concat(*[F.get(chars, i + j) for j in range(k)]))
+            return F.when(F.size(chars) >= k, whole).otherwise(F.array().cast("array<string>"))
+
+        return F.array_distinct(F.concat(*[runs(k) for k in lengths]))
+
+    return F.transform(F.array(F.split(text, "")), of)[0]
+
+
+def match_keyword_table(texts: DataFrame, text: str, keywords: DataFrame, needle: str, k: int = 3) -> DataFrame:
+    """(text_id, needle) of every needle that a text contains, for a keyword table of any size; text_id is the text's md5.
+
+    Each needle is looked up by the rarest of its runs of ``k`` characters (by the whole of it, if it has fewer): texts and
+    needles meet in an equality on that run. The needles met are gathered per text, and the text checks them in one expression, so
+    it passes one shuffle, whatever number of runs and needles it has. Needles are taken literally; empty and null ones find nothing.
+    """
+    named = texts.where(F.col(text).isNotNull()).select(F.md5(text).alias("text_id"), F.col(text).alias("_texto"))
+    needles = keywords.select(F.col(needle).alias("_agulha")).where("_agulha <> ''").distinct()
+    sized = needles.withColumn("_k", F.least(F.char_length("_agulha"), F.lit(k)))
+    lengths = sorted(row[0] for row in sized.select("_k").distinct().collect())  # at most k values
+    if not lengths:
+        return named.select("text_id", F.lit(None).cast("string").alias(needle)).limit(0)
+    per_needle = sized.select("_agulha", F.explode(_runs(F.col("_agulha"), lengths)).alias("_trecho"), "_k").where(
+        F.char_length("_trecho") == F.col("_k")).select("_agulha", "_trecho")
+    index = named.select("text_id", F.explode(_runs(F.col("_texto"), lengths)).alias("_trecho")).join(
+        per_needle.select("_trecho").distinct(), "_trecho").distinct()
+    held = index.groupBy("_trecho").agg(F.count("*").alias("_textos"))
+    rarest = per_needle.join(held, "_trecho", "left").groupBy("_agulha").agg(
+        F.min(F.struct(F.coalesce("_textos", F.lit(0)).alias("n"), "_trecho")).alias("_r")).where("_r.n > 0").select("_agulha", "_r._trecho")
+    met = index.join(rarest, "_trecho").groupBy("text_id").agg(F.collect_list("_agulha").alias("_agulhas"))
+    once = named.groupBy("text_id").agg(F.first("_texto").alias("_texto"))
+    return once.join(met, "text_id").select("text_id", F.explode(F.filter("_agulhas", lambda n: F.contains("_texto", n))).alias(needle))
+
+
+def join_keyword_table(df: DataFrame, text: str, keywords: DataFrame, needle: str = "agulha", k: int = 3) -> DataFrame:
+    """``df`` with a row per keyword of ``keywords`` (needle and any columns) that its text contains; one with NULLs if none is.
+
+    Like LEFT JOIN ON text LIKE '%needle%' with literal needles. ``df`` has none of the columns of ``keywords``.
+    """
+    found = match_keyword_table(df, text, keywords, needle, k).join(keywords, needle)
+    return df.withColumn("text_id", F.md5(text)).join(found, "text_id", "left").drop("text_id")
+
+
 def join_supplier_presence(
     invoices: DataFrame, presence: DataFrame, tax_id: str = "cpf_cnpj_emitente"
 ) -> DataFrame:

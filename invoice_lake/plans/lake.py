@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from invoice_lake.operators import marts
+from invoice_lake.operators import marts, states
 from invoice_lake.operators.cleaning import TAX_ID_COLUMNS, clean_table
 from invoice_lake.operators.matching import chain_items
 from invoice_lake.plans import inquiries
@@ -114,12 +114,16 @@ def gold_tables(
 def chain_tables(
     spark: SparkSession, root: str, items: DataFrame, chain_map: DataFrame, years: Sequence[int]
 ) -> dict[str, DataFrame]:
-    """Marts by production chain. The chain items are written first, so the marts scan them, not the join."""
+    """Marts by production chain. The chain items are written first, so the marts scan them, not the join.
+
+    ``detalhe_por_cadeia`` has all groups of every chain, a folder per chain; ``detalhado_cadeia`` is the published cut of all.
+    """
     def stored(name: str, dedup: tuple[str, ...]) -> DataFrame:
         layers.write_table(chain_items(items, chain_map, years, dedup), root, "gold", name)
         return layers.read_table(spark, root, "gold", name)
 
     by_chain = stored("itens_cadeia", ("codigo_cadeia",))
+    layers.write_table(marts.chain_detail(by_chain, years, limit=None), root, "gold", "detalhe_por_cadeia", "codigo_cadeia")
     by_cnae = stored("itens_cadeia_cnae", ("codigo_cadeia", "cnae"))
     return {
         "resumo_cadeia": marts.chain_summary(by_chain, years, max(years)),
@@ -144,6 +148,70 @@ def build_gold(
     return publish(spark, root, tables)
 
 
+#: Tables of states, and of the numbers that keys have in them.
+STATES = ("estado_tipos_somas", "estado_tipos_conjuntos", "estado_codigos")
+NUMBERS = {"numeros_fornecedores": states.supplier_keys, "numeros_notas": states.invoice_keys}
+
+
+def update_states(spark: SparkSession, root: str, group_a: DataFrame, replace: Sequence[str] = ()) -> list[str]:
+    """Write the states of the silver periods that have none, and of those of ``replace``; returns these periods.
+
+    Only these periods are read. A period's state is written whole, the sums of codes last, and it counts as there when those
+    stand; running the job again after a failure gives the same states. With another mapping, replace all periods.
+    """
+    in_silver = {row.periodo for row in layers.loaded_periods(spark, root, "silver", "itens").collect()}
+    done = {row.periodo for row in layers.loaded_periods(spark, root, "gold", STATES[-1]).collect()}
+    gone = sorted(done - in_silver)
+    for table in STATES:
+        layers.clear_periods(spark, root, "gold", table, gone)
+    periods = sorted((in_silver - done) | (set(replace) & in_silver))
+    if not periods:
+        log.info("states are up to date")
+        return []
+    items = layers.read_periods(spark, root, "silver", "itens", periods).withColumn("periodo", F.col("periodo").cast("string"))
+    numbers = {}
+    for table, keys in NUMBERS.items():
+        known = layers.read_table(spark, root, "gold", table)
+        layers.append_rows(states.new_numbers(keys(items), known), root, "gold", table)
+        numbers[table] = layers.read_table(spark, root, "gold", table)
+    values = states.typed_values(items, group_a, "periodo")
+    sets = states.key_sets(values, {
+        "fornecedores_distintos": ("fornecedor", numbers["numeros_fornecedores"]),
+        "notas_distintas": ("chave_de_acesso", numbers["numeros_notas"])}, "periodo")
+    for table, state in zip(STATES, (states.sums(values, "periodo"), sets, states.code_sums(items, "periodo"))):
+        layers.write_periods(state, root, "gold", table, rebalance=True, periods=periods)
+    return periods
+
+
+def state_totals(spark: SparkSession, root: str, years: Sequence[int] | None = None) -> DataFrame:
+    """Value, suppliers and invoices per type and year and per year, merged from the states of all periods."""
+    somas, conjuntos, _ = (layers.read_table(spark, root, "gold", name) for name in STATES)
+    return states.merged_totals(somas, conjuntos, years)
+
+
+def update_gold(
+    spark: SparkSession, root: str, group_a: DataFrame, years: Sequence[int] | None = None, replace: Sequence[str] = (),
+    keyword_patterns: dict[str, str] | None = None,
+) -> dict[str, int]:
+    """The marts by type and keyword like ``build_gold``, from states: a month's run reads the items of that month only."""
+    update_states(spark, root, group_a, replace)
+    codes = layers.read_table(spark, root, "gold", STATES[-1])
+    if codes is None:
+        return {}
+    totals = state_totals(spark, root)
+    if years is None:
+        years = sorted(row.ano for row in totals.select("ano").where("ano is not null").distinct().collect())
+    typed = marts.typed_codes(states.merged_code_sums(codes), group_a)
+    patterns = marts.KEYWORD_PATTERNS if keyword_patterns is None else keyword_patterns
+    chosen = totals.where(F.col("ano").isin(*years))
+    return publish(spark, root, {
+        "resumo_grupo_a": marts.type_year_pivot(states.by_type(chosen), years),
+        "totais_grupo_a": states.by_year(chosen),
+        "itens_grupo_a": typed.where(F.col("ano") == max(years, default=0)),
+        "itens_grupo_b_regex": marts.flagged(typed, patterns),
+    })
+
+
 def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> dict[str, int]:
     """Write reports as gold tables, and from those as CSV deliverables; returns rows per report."""
     written = {}

@@ -435,6 +435,12 @@ def statements() -> dict[str, str]:
             " LEFT JOIN (VALUES ('la'), ('eaux'), ('que'), ('tion'), ('zzz')) k(chave) ON t.d LIKE '%' || k.chave || '%'"
             " GROUP BY 1"
         ),
+        "join_keyword_table": (
+            "SELECT agulha, CAST(length(agulha) AS BIGINT) AS tamanho, COUNT(*) AS n, CAST(SUM(n_chars) AS BIGINT) AS caracteres"
+            " FROM (SELECT lower(text) AS d, n_chars FROM documents) t LEFT JOIN (SELECT DISTINCT w AS agulha FROM"
+            " (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM benchmark) WHERE w <> '') k"
+            " ON t.d LIKE '%' || k.agulha || '%' GROUP BY 1, 2"
+        ),
         "join_supplier_root": _with(
             INVOICES, PRESENCE,
             "SELECT ano AS ano_emissao, p.cnpj_basico IS NOT NULL AS cnpj_disponivel, tipo_matriz, presenca_internacional,"
@@ -510,6 +516,18 @@ def statements() -> dict[str, str]:
             ITEMS, GROUP_A, TYPE_LONG,
             "SELECT tipo, ano, CAST(valor_total AS DOUBLE) AS valor_total, fornecedores_distintos, notas_distintas FROM tipos",
         ),
+        "incremental_type_year": _with(
+            ITEMS, GROUP_A, TYPE_LONG,
+            "SELECT tipo, ano, CAST(valor_total AS DOUBLE) AS valor_total, fornecedores_distintos, notas_distintas FROM tipos",
+        ),
+        "incremental_totals_year": _with(ITEMS, GROUP_A, YEAR_TOTALS, "SELECT * FROM anuais"),
+        "incremental_items": _with(
+            ITEMS, GROUP_A,
+            "SELECT ano, codigo_ncm_sh AS ncm, trim(tipo) AS tipo_ncm, tipo IS NOT NULL AS ncm_mapeada,"
+            " descricao_do_produto_servico AS descricao, CAST(SUM(valor_total) AS DOUBLE) AS total"
+            " FROM itens LEFT JOIN mapa_a ON ncm = codigo_ncm_sh WHERE ano = 2000 GROUP BY ALL",
+        ),
+        "type_table": _with(*pivoted, f"SELECT tipo, {', '.join(f'valor_{y}' for y in YEARS)} FROM largo WHERE tipo = 'Brand#7'"),
         "type_year_pivot": _with(*pivoted, "SELECT * FROM largo"),
         "type_totals_year": _with(ITEMS, GROUP_A, YEAR_TOTALS, "SELECT * FROM anuais"),
         "items_group_a": _with(
@@ -555,6 +573,25 @@ def statements() -> dict[str, str]:
             "SELECT codigo_cadeia, cnae, codigo_ncm_sh, descricao_do_produto_servico, valor_total FROM detalhe"
             " WHERE codigo_cadeia = 'C1'",
         ),
+        "chain_table_by_folder": _with(
+            CHAIN_ITEMS, DETAIL.replace(" LIMIT 2000)", ")"),
+            "SELECT codigo_cadeia, cnae, codigo_ncm_sh, descricao_do_produto_servico, valor_total FROM detalhe"
+            " WHERE codigo_cadeia = 'C1'",
+        ),
+        "chain_detail_per_chain": _with(
+            CHAIN_ITEMS, DETAIL.replace(" LIMIT 2000)", ")"),
+            "SELECT codigo_cadeia, cnae, codigo_ncm_sh, descricao_do_produto_servico, valor_total, registros FROM (SELECT *,"
+            f" row_number() OVER (PARTITION BY codigo_cadeia ORDER BY valor_total DESC, {_DETAIL_KEY}) AS lugar FROM detalhe)"
+            " WHERE lugar <= 100",
+        ),
+        "cnae_table": _with(
+            CHAIN_CNAE_ITEMS,
+            f"SELECT codigo_cadeia, cnae, CAST(SUM(valor_total) AS DOUBLE) AS valor_total, COUNT(DISTINCT {_SUPPLIER}) AS fornecedores,"
+            " COUNT(DISTINCT chave_de_acesso) AS notas, COUNT(DISTINCT chave_de_acesso || '-' || CAST(numero AS VARCHAR)"
+            " || '-' || CAST(numero_produto AS VARCHAR)) AS itens FROM itens_cadeia WHERE codigo_cadeia = 'C1' GROUP BY"
+            " missao, nome_missao, codigo_cadeia, cadeia, cnae, desc_cnae, criterio, missoes, icp, secao_cnae,"
+            " sh_correspondente",
+        ),
         "chain_labels": _with(
             CHAIN_ITEMS, SUMMARY, "SELECT DISTINCT codigo_cadeia || ' — ' || cadeia AS label, codigo_cadeia AS value FROM resumo"
         ),

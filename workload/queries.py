@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from invoice_lake.functions import codes, parsing, periods, text
-from invoice_lake.operators import cleaning, marts, matching, quality
-from invoice_lake.plans import inquiries, reports
+from invoice_lake.operators import cleaning, marts, matching, quality, states
+from invoice_lake.plans import inquiries, lake, reports
+from invoice_lake.session import shared_folder
 from invoice_lake.sources import delivery, layers, mappings
 from workload import views
 
@@ -330,6 +331,15 @@ def join_keyword_contains(spark, sf):
     return hits.groupBy("chave").agg(F.count("*").alias("n"), F.sum("n_chars").alias("caracteres"))
 
 
+@register
+def join_keyword_table(spark, sf):
+    """All words of the benchmark as keywords, looked up in all documents."""
+    words = views.table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), r"[^a-z]+")).alias("agulha")).where("agulha <> ''").distinct()
+    docs = views.table(spark, sf, "documents").select(F.lower("text").alias("texto"), "n_chars")
+    joined = matching.join_keyword_table(docs, "texto", words.withColumn("tamanho", F.length("agulha").cast("bigint")))
+    return joined.groupBy("agulha", "tamanho").agg(F.count("*").alias("n"), F.sum("n_chars").alias("caracteres"))
+
+
 @register
 def join_supplier_root(spark, sf):
     heads = views.invoices(spark, sf, "data_emissao", "cpf_cnpj_emitente", "valor_nota_fiscal", "chave_de_acesso")
@@ -450,6 +460,36 @@ def type_totals_year(spark, sf):
     return plain(_year_totals(spark, sf))
 
 
+def _two_loads(spark, sf):
+    """A lake whose silver items came in two loads, each turned to states on its own."""
+    root = shared_folder(spark, "cargas")
+    lines = views.items(
+        spark, sf, "periodo", "data_emissao", "codigo_ncm_sh", "valor_total", "cnpj_emitente", "cpf_emitente", "chave_de_acesso",
+        "descricao_do_produto_servico")
+    early = F.col("periodo") < "1998-06"
+    for load in (lines.where(early), lines.where(~early)):
+        layers.write_periods(load, root, "silver", "itens", rebalance=True)
+        lake.update_states(spark, root, views.group_a(spark, sf))
+    return root
+
+
+@register
+def incremental_type_year(spark, sf):
+    """The mart by type and year from the states of two loads, merged."""
+    return plain(states.by_type(lake.state_totals(spark, _two_loads(spark, sf), YEARS)))
+
+
+@register
+def incremental_totals_year(spark, sf):
+    return plain(states.by_year(lake.state_totals(spark, _two_loads(spark, sf), YEARS)))
+
+
+@register
+def incremental_items(spark, sf):
+    sums = layers.read_table(spark, _two_loads(spark, sf), "gold", lake.STATES[-1])
+    return plain(marts.typed_codes(states.merged_code_sums(sums).where("ano = 2000"), views.group_a(spark, sf)))
+
+
 @register
 def items_group_a(spark, sf):
     lines = views.items(spark, sf, "data_emissao", "codigo_ncm_sh", "descricao_do_produto_servico", "valor_total")
@@ -521,6 +561,36 @@ def chain_table_filtered(spark, sf):
     return plain(table.select("codigo_cadeia", "cnae", "codigo_ncm_sh", "descricao_do_produto_servico", "valor_total"))
 
 
+@register
+def chain_table_by_folder(spark, sf):
+    """One chain of the gold detail, which has a folder per chain."""
+    root = shared_folder(spark, "cadeias")
+    layers.write_table(marts.chain_detail(_chain_items(spark, sf), YEARS, limit=None), root, "gold", "detalhe_por_cadeia", "codigo_cadeia")
+    table = reports.detail_of_chain(spark, root, "C1")
+    return plain(table.select("codigo_cadeia", "cnae", "codigo_ncm_sh", "descricao_do_produto_servico", "valor_total"))
+
+
+@register
+def chain_detail_per_chain(spark, sf):
+    """The 100 largest groups of every chain."""
+    groups = marts.chain_detail(_chain_items(spark, sf), YEARS, limit=None)
+    return plain(marts.largest_per_chain(groups, 100).select(
+        "codigo_cadeia", "cnae", "codigo_ncm_sh", "descricao_do_produto_servico", "valor_total", "registros"))
+
+
+@register
+def cnae_table(spark, sf):
+    report = reports.label_cnae(marts.chain_by_cnae(_chain_items(spark, sf, "codigo_cadeia", "cnae"), YEARS))
+    names = {v: k for k, v in reports.CNAE_LABELS.items()}
+    return plain(reports.cnae_table(report, "C1").withColumnsRenamed(names).select("codigo_cadeia", "cnae", "valor_total", "fornecedores", "notas", "itens"))
+
+
+@register
+def type_table(spark, sf):
+    one = reports.type_table(_type_pivot(spark, sf), "Brand#7")
+    return plain(one.withColumnsRenamed({f"Valor Total {y}": f"valor_{y}" for y in YEARS}).select("tipo", *[f"valor_{y}" for y in YEARS]))
+
+
 @register
 def chain_labels(spark, sf):
     return reports.chain_labels(_chain_summary(spark, sf))
