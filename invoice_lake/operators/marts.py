@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,11 +77,15 @@ def _per_invoice(items: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _distinct_totals(items: DataFrame) -> list[Column]:
+def _money(items: DataFrame) -> str:
+    """Type of a sum of values, however many steps it is summed in."""
     value = items.schema["valor_total"].dataType
-    money = f"decimal({min(value.precision + 10, 38)},{value.scale})" if isinstance(value, T.DecimalType) else "double"
+    return f"decimal({min(value.precision + 10, 38)},{value.scale})" if isinstance(value, T.DecimalType) else "double"
+
+
+def _distinct_totals(items: DataFrame) -> list[Column]:
     return [
-        F.sum("_valor").cast(money).alias("valor_total"),
+        F.sum("_valor").cast(_money(items)).alias("valor_total"),
         F.count_distinct("_fornecedor").alias("fornecedores_distintos"),
         F.count_distinct("chave_de_acesso").alias("notas_distintas"),
     ]
@@ -166,8 +172,7 @@ def chain_summary(chain_items: DataFrame, years: Sequence[int], focus_year: int)
     The items are added up per chain and supplier first, so that distinct suppliers are plain counts.
     """
     focused = F.year("data_emissao") == focus_year
-    value = chain_items.schema["valor_total"].dataType
-    money = f"decimal({min(value.precision + 10, 38)},{value.scale})" if isinstance(value, T.DecimalType) else "double"
+    money = _money(chain_items)
     names = [f"valor_{y}" for y in years]
     per_supplier = chain_items.groupBy(*CHAIN_KEY, supplier_id().alias("_fornecedor")).agg(
         F.sum("valor_total").alias("_valor"),
@@ -213,28 +218,42 @@ def largest_per_chain(groups: DataFrame, limit: int) -> DataFrame:
 
 
 def chain_by_cnae(chain_items: DataFrame, years: Sequence[int]) -> DataFrame:
-    """One row per chain and CNAE. Build the input with dedup=("codigo_cadeia", "cnae")."""
-    return chain_items.groupBy(*CNAE_KEY).agg(
-        F.sum("valor_total").alias("valor_total"),
-        F.count_distinct(supplier_id()).alias("fornecedores"),
-        F.count_distinct("chave_de_acesso").alias("notas"),
-        F.count_distinct(*ITEM_KEY).alias("itens"),
-        *_year_values(years),
-    )
+    """One row per chain and CNAE. Build the input with dedup=("codigo_cadeia", "cnae").
+
+    Suppliers, and items within invoices, are made distinct by sums of their own, which combine before the shuffle.
+    """
+    money = _money(chain_items)
+    names = [f"valor_{y}" for y in years]
+    per_supplier = chain_items.groupBy(*CNAE_KEY, supplier_id().alias("_fornecedor")).agg(
+        F.sum("valor_total").alias("_valor"), *_year_values(years))
+    totals = per_supplier.groupBy(*CNAE_KEY).agg(
+        F.sum("_valor").cast(money).alias("valor_total"), F.count("_fornecedor").alias("fornecedores"),
+        *[F.sum(name).cast(money).alias(name) for name in names])
+    known = reduce(and_, [F.col(c).isNotNull() for c in ITEM_KEY])
+    per_invoice = chain_items.groupBy(*CNAE_KEY, *ITEM_KEY).agg(F.lit(1).alias("_um")).groupBy(*CNAE_KEY, "chave_de_acesso").agg(
+        F.count(F.when(known, F.lit(1))).alias("_itens"))
+    counts = per_invoice.groupBy(*CNAE_KEY).agg(F.count("chave_de_acesso").alias("notas"), F.sum("_itens").alias("itens"))
+    renamed = counts.withColumnsRenamed({c: f"_{c}" for c in CNAE_KEY})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in CNAE_KEY])
+    return totals.join(renamed, same).select(*CNAE_KEY, "valor_total", "fornecedores", "notas", "itens", *names)
 
 
 def chain_global_totals(chain_items: DataFrame, focus_year: int) -> DataFrame:
     """Value, suppliers and items with every item counted once across chains."""
     rest = sorted(set(chain_items.columns) - set(ITEM_KEY))
     once = first_per(chain_items, ITEM_KEY, [F.asc_nulls_last(c) for c in rest])
-    focused = F.year("data_emissao") == focus_year
-    return once.agg(
-        F.sum("valor_total").alias("valor_total_global"),
-        F.count_distinct(supplier_id()).alias("fornecedores_global"),
-        F.count("*").alias("itens_global"),
-        F.sum(F.when(focused, F.col("valor_total"))).alias(f"valor_total_{focus_year}"),
-        F.count_distinct(F.when(focused, supplier_id())).alias(f"fornecedores_{focus_year}"),
-        F.count(F.when(focused, F.lit(1))).alias(f"itens_{focus_year}"),
+    focused, money = F.year("data_emissao") == focus_year, _money(chain_items)
+    per_supplier = once.groupBy(supplier_id().alias("_fornecedor")).agg(
+        F.sum("valor_total").alias("_valor"), F.count("*").alias("_itens"),
+        F.sum(F.when(focused, F.col("valor_total"))).alias("_valor_foco"), F.count(F.when(focused, F.lit(1))).alias("_itens_foco"))
+    none = F.lit(0).cast("long")
+    return per_supplier.agg(
+        F.sum("_valor").cast(money).alias("valor_total_global"),
+        F.count("_fornecedor").alias("fornecedores_global"),
+        F.coalesce(F.sum("_itens"), none).alias("itens_global"),
+        F.sum("_valor_foco").cast(money).alias(f"valor_total_{focus_year}"),
+        F.count(F.when(F.col("_itens_foco") > 0, F.col("_fornecedor"))).alias(f"fornecedores_{focus_year}"),
+        F.coalesce(F.sum("_itens_foco"), none).alias(f"itens_{focus_year}"),
     )
 
 

@@ -141,3 +141,11 @@ def test_new_numbers_of_nothing(spark):
     known = spark.createDataFrame([("a", 5)], "chave string, numero long")
     more = states.new_numbers(spark.createDataFrame([("a",), ("b",)], none.schema), known).collect()
     assert [r.chave for r in more] == ["b"] and more[0].numero >= states.TASK_NUMBERS
+
+
+def test_chain_reports_come_without_expand(make_items, make_chains):
+    items = matching.chain_items(make_items(), make_chains(("C1", "8806", "x")), [2024], ("codigo_cadeia", "cnae"))
+    for report in (marts.chain_by_cnae(items, [2024]), marts.chain_global_totals(items, 2024), marts.chain_summary(items, [2024], 2024)):
+        assert "Expand" not in plan(report) and report.count() == 1
+    nothing = marts.chain_global_totals(items.limit(0), 2024).first()
+    assert (nothing.itens_global, nothing.itens_2024, nothing.fornecedores_global, nothing.valor_total_global) == (0, 0, 0, None)
