@@ -1,9 +1,9 @@
-"""Benchmark decontamination by winnowing: shared fingerprints first, then exact window checks around each.
+"""Benchmark decontamination: documents and items meet on the hashes of whole windows, behind a filter of winnowed fingerprints.
 
 Of all gram hashes in each run of ``window - GRAM + 1`` grams the smallest is kept (the last one among equals), so any
-``window`` words that a document shares with an item share a fingerprint. A fingerprint carries the hashes of the
-windows around it; a hit is extended by comparing those. Items shorter than a window are one window of their own
-length, whose fingerprint is the whole item.
+``window`` words that a document shares with an item share a fingerprint. While the items' fingerprints are few enough to be sent
+to all tasks, windows with other fingerprints are dropped before the join. The join itself is on the hash of the
+whole window; windows are not thinned and hits not extended. Items shorter than a window are one window of their own length.
 """
 
 from __future__ import annotations
