@@ -1,9 +1,10 @@
-"""Benchmark decontamination: documents and items meet on the hashes of whole windows, behind a filter of winnowed fingerprints.
+"""Benchmark decontamination by winnowing: texts meet on thinned fingerprints, and each meeting is extended to shared words.
 
 Of all gram hashes in each run of ``window - GRAM + 1`` grams the smallest is kept (the last one among equals), so any
-``window`` words that a document shares with an item share a fingerprint. While the items' fingerprints are few enough to be sent
-to all tasks, windows with other fingerprints are dropped before the join. The join itself is on the hash of the
-whole window; windows are not thinned and hits not extended. Items shorter than a window are one window of their own length.
+``window`` words that a document shares with an item have the same gram kept in both. Each kept gram is a row once, with the
+words around it that a window over it may reach. Documents and items are joined on the fingerprint alone; each hit is
+extended to left and right as long as the words agree, and counts if it spans a window. Items shorter than a
+window have one gram, of all their words.
 """
 
 from __future__ import annotations
@@ -13,16 +14,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from invoice_lake.llm.storage import ROW, discard, numbered, settle, small_batches
+from invoice_lake.llm.storage import ROW, numbered, settle, small_batches, with_fields
 from invoice_lake.llm.words import ALNUM_WORDS, LOWER, constants, grams, mix, rows_of, slabs
 
-WINDOW, GRAM = 10, 5
-#: With at most so many distinct item fingerprints (32 MB), documents drop other fingerprints before the join.
-FILTER_FINGERPRINTS = 4_000_000
-_TABLE_BITS = 22
+WINDOW, GRAM = 10, 7
+#: Words on either side of a gram that a window over it may reach.
+AROUND = WINDOW - GRAM
+#: Bits of the filter of item fingerprints (16 MB, always used); when it fills up, more grams are joined than needed.
+_FILTER_BITS = 27
+_BEFORE, _AFTER = ([f"{side}{i}" for i in range(1, AROUND + 1)] for side in ("before", "after"))
+_GRAM_FIELDS = ", ".join(["fingerprint: long", "place: long", "length: int", *[f"{n}: long" for n in (*_BEFORE, *_AFTER)]])
 
 
 def fingerprints(words: np.ndarray, first: np.ndarray, window: int = WINDOW, gram: int = GRAM):
@@ -51,64 +56,89 @@ def _places(first: np.ndarray, k: int, n: int) -> np.ndarray:
 
 
 def _tag(fingerprint: np.ndarray, length: int) -> np.ndarray:
-    """Fingerprints of windows of different lengths never meet."""
+    """Grams of different lengths never meet."""
     return mix(fingerprint + constants(1, 9000 + length))
 
 
-def _windows(words: np.ndarray, first: np.ndarray, lengths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(length, fingerprint, begin, hash) of all windows of the given lengths."""
-    for length in lengths:
-        if length == WINDOW:
-            low, _, begins, hashes = fingerprints(words, first)
-            yield length, _tag(low, length), begins, hashes
-        else:
-            hashes, begins = grams(words, first, length)
-            yield length, _tag(hashes, length), begins, hashes
+def kept_grams(words: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, place) of the winnowed grams of windows of ten words, each once, or of all grams of a lesser ``length``."""
+    if length == WINDOW:
+        low, place, _, _ = fingerprints(words, first)
+        place, at = np.unique(place, return_index=True)
+        return _tag(low[at], length), place
+    hashes, begins = grams(words, first, length)
+    return _tag(hashes, length), begins
+
+
+def _gram_columns(words: np.ndarray, first: np.ndarray, owner: np.ndarray, prints: np.ndarray, places: np.ndarray, length: int):
+    """Arrow arrays of ``_GRAM_FIELDS``: places within the text, lengths of grams, and the words around, null beyond the text."""
+    size, who = (GRAM, owner[places]) if length == WINDOW else (length, owner[places])
+    around = []
+    for step in (*range(-1, -AROUND - 1, -1), *range(size, size + AROUND)):
+        at = places + step
+        beyond = (at < first[who]) | (at >= first[who + 1]) | (length < WINDOW)
+        around.append(pa.array(words[np.clip(at, 0, len(words) - 1)].view(np.int64), mask=beyond))
+    return [pa.array(prints.view(np.int64)), pa.array(places - first[who]), pa.array(np.full(len(places), size, np.int32)), *around]
 
 
 def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, texts in slabs(batches):
         words, first = texts.words(ALNUM_WORDS, LOWER)
-        sizes, owner = np.diff(first), rows_of(first)
-        for length in sorted(set(np.minimum(sizes[sizes > 0], WINDOW).tolist())):
-            for _, prints, begins, hashes in _windows(words, first, [length]):
-                mine = (sizes[owner[begins]] >= WINDOW) if length == WINDOW else (sizes[owner[begins]] == length)
-                yield pa.RecordBatch.from_arrays([
-                    rows.column("item_id").take(pa.array(owner[begins][mine])), pa.array(np.full(mine.sum(), length, np.int32)),
-                    pa.array(prints[mine].view(np.int64)), pa.array(hashes[mine].view(np.int64)),
-                ], ["item_id", "length", "fingerprint", "hash"])
-
-
-def _document_rows(batches: Iterator[pa.RecordBatch], lengths: list[int], wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    table = None
-    if wanted is not None:
-        table = np.zeros(1 << _TABLE_BITS, bool)
-        table[wanted & np.uint64((1 << _TABLE_BITS) - 1)] = True
+        sizes, owner = np.minimum(np.diff(first), WINDOW), rows_of(first)
+        for length in np.unique(sizes[sizes > 0]).tolist():
+            prints, places = kept_grams(words, first, length)
+            mine = sizes[owner[places]] == length
+            prints, places = prints[mine], places[mine]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("item_id").take(pa.array(owner[places])), pa.array(np.full(len(places), length, np.int32)),
+                 *_gram_columns(words, first, owner, prints, places, length)],
+                ["item_id", "window", "fingerprint", "place", "length", *_BEFORE, *_AFTER])
+
+
+def _document_rows(batches: Iterator[pa.RecordBatch], windows: list[int], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
     row_base = TaskContext.get().partitionId() << 40
     for rows, texts in slabs(batches):
         words, first = texts.words(ALNUM_WORDS, LOWER)
-        owner = rows_of(first)
-        parts = []
-        for length, prints, begins, hashes in _windows(words, first, lengths):
-            if table is not None:
-                keep = np.flatnonzero(table[prints & np.uint64((1 << _TABLE_BITS) - 1)])
-                keep = keep[wanted[np.minimum(np.searchsorted(wanted, prints[keep]), len(wanted) - 1)] == prints[keep]]
-                prints, begins, hashes = prints[keep], begins[keep], hashes[keep]
-            parts.append((owner[begins], prints, begins, hashes, np.full(len(begins), length, np.int64)))
-        who, prints, begins, hashes, sizes = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, np.int64),) * 5
-        order = np.argsort(who, kind="stable")
+        owner, who, parts = rows_of(first), [np.empty(0, np.int64)], []
+        for length in windows:
+            prints, places = kept_grams(words, first, length)
+            slot = prints & np.uint64((1 << _FILTER_BITS) - 1)
+            keep = np.flatnonzero(wanted[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
+            if len(keep):
+                who.append(owner[places[keep]])
+                parts.append(pa.StructArray.from_arrays(
+                    _gram_columns(words, first, owner, prints[keep], places[keep], length),
+                    ["fingerprint", "place", "length", *_BEFORE, *_AFTER]))
+        who = np.concatenate(who)
+        kind = pa.struct([(f, pa.int32() if f == "length" else pa.int64()) for f in ("fingerprint", "place", "length", *_BEFORE, *_AFTER)])
+        found = pa.concat_arrays(parts) if parts else pa.array([], kind)
         counts = np.bincount(who, minlength=len(texts))
-        windows = pa.StructArray.from_arrays([
-            pa.array(prints[order].view(np.int64)), pa.array(hashes[order].view(np.int64)),
-            pa.array((begins - first[who])[order]), pa.array(sizes[order].astype(np.int32)),
-        ], ["fingerprint", "hash", "begin", "length"])
         yield pa.RecordBatch.from_arrays([
             pa.array(row_base + np.arange(len(texts))), rows.column("doc_id"), pa.array(np.diff(first)),
-            pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), windows),
-        ], ["row", "doc_id", "n_words", "windows"])
+            pa.ListArray.from_arrays(
+                np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), found.take(pa.array(np.argsort(who, kind="stable")))),
+        ], ["row", "doc_id", "n_words", "grams"])
         row_base += len(texts)
 
 
+def _filter_of(items: DataFrame) -> np.ndarray:
+    """A bit per slot of the items' fingerprints, put together in pieces of 4 KB: 16 MB at most, however many items there are."""
+    slot = F.col("fingerprint").bitwiseAND((1 << _FILTER_BITS) - 1) + 1
+    pieces = items.groupBy(F.bitmap_bucket_number(slot).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    wanted = np.zeros(1 << (_FILTER_BITS - 3), np.uint8)
+    for piece, bits in pieces.collect():
+        wanted[(piece - 1) * len(bits):piece * len(bits)] = np.frombuffer(bits, np.uint8)
+    return wanted
+
+
+def _agreeing(names: list[str]) -> Column:
+    """How many of the words on one side agree, from the gram outwards; a word beyond a text agrees with none."""
+    reach = F.lit(len(names))
+    for i, name in reversed(list(enumerate(names))):
+        reach = F.when(F.col(f"d.{name}") == F.col(f"i.{name}"), reach).otherwise(F.lit(i))
+    return reach
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) with its words, the spans hit by windows of ``benchmark`` (item_id, text), and the items.
 
@@ -118,26 +148,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null texts and texts without words have no windows; items without words have none either. Equal items each count.
     An empty benchmark hits nothing; no documents give no rows. Rows with equal doc_id stay separate rows.
     """
+    grams_of = ["fingerprint", "length", *_BEFORE, *_AFTER]
+    source = benchmark.select("item_id", "text")
     items = settle(
-        benchmark.select("item_id", "text").mapInArrow(
-            _item_rows, benchmark.select("item_id", F.lit(0).alias("length"), F.lit(0).cast("long").alias("fingerprint"),
-                                         F.lit(0).cast("long").alias("hash")).schema).distinct(), "items")
-    lengths = sorted(r[0] for r in items.select("length").distinct().collect())
-    prints = items.select("fingerprint").distinct()
-    wanted = None
-    if prints.count() <= FILTER_FINGERPRINTS:
-        wanted = np.sort(np.array([r[0] for r in prints.toLocalIterator()], np.int64).view(np.uint64))
+        small_batches(source).mapInArrow(
+            _item_rows, with_fields(source.select("item_id").schema, "window int, " + _GRAM_FIELDS.replace(":", ""))
+        ).drop("place").distinct(), "items")
+    # Items that share a gram and the words around it are met once, whatever their number.
+    alike = F.xxhash64("window", *[F.coalesce(name, F.lit(0)) for name in grams_of]).alias("alike")  # a null would leave no trace
+    places = items.select("window", *grams_of).distinct().withColumn("alike", alike)
+    windows = sorted(r[0] for r in items.select("window").distinct().collect())
     source = docs.select("doc_id", "text")
-    shared = source.sparkSession.sparkContext.broadcast((lengths if wanted is None or len(wanted) else [], wanted))
+    shared = source.sparkSession.sparkContext.broadcast((windows, _filter_of(items)))
+    schema = with_fields(source.select("doc_id").schema, f"n_words long, grams array<struct<{_GRAM_FIELDS}>>")
+    schema.fields.insert(0, T.StructField("row", T.LongType()))
     scanned = settle(
-        small_batches(source).mapInArrow(
-            lambda batches: _document_rows(batches, *shared.value),
-            f"row long, doc_id {source.schema['doc_id'].dataType.simpleString()}, n_words long, "
-            "windows array<struct<fingerprint: long, hash: long, begin: long, length: int>>"), "scanned")
-    seen = scanned.where(F.size("windows") > 0).select("row", F.explode("windows").alias("w")).select("row", "w.*")
-    hits = settle(seen.join(items, ["fingerprint", "length", "hash"]).select("row", "begin", "length", "item_id"), "hits")
+        small_batches(source).mapInArrow(lambda batches: _document_rows(batches, *shared.value), T.StructType(schema.fields)), "scanned")
+    seen = scanned.where(F.size("grams") > 0).select("row", F.explode("grams").alias("g")).select("row", "g.*")
+    left, right = _agreeing(_BEFORE), _agreeing(_AFTER)
+    begin, end = F.col("d.place") - left, F.col("d.place") + F.col("d.length") + right
+    hits = settle(
+        seen.alias("d").join(places.alias("i"), "fingerprint").where(end - begin >= F.col("i.window")).select(
+            "row", begin.alias("begin"), end.alias("end"), "alike"), "hits")
+    named = items.select(alike, F.col("item_id").cast("string").alias("item")).distinct()
     found = _spans(hits).join(
-        hits.select("row", F.col("item_id").cast("string").alias("item")).distinct().groupBy("row").agg(
+        hits.select("row", "alike").distinct().join(named, "alike").select("row", "item").distinct().groupBy("row").agg(
             F.sort_array(F.collect_list("item")).alias("item_ids")), "row")
     none = F.array().cast("array<struct<begin: bigint, end: bigint>>")
     return scanned.select("row", "doc_id", "n_words").join(found, "row", "left").select(
@@ -146,16 +181,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _spans(hits: DataFrame) -> DataFrame:
-    """Per row the united word ranges of its windows, and the words in them."""
-    ends = hits.groupBy("row", "begin").agg(F.max("length").alias("length"))
-    ranges = F.sort_array(F.collect_list(F.struct("begin", (F.col("begin") + F.col("length")).alias("end"))))
-    united = F.expr(
-        "aggregate(ranges, cast(array() as array<struct<begin: bigint, end: bigint>>), (done, r) -> "
-        "case when size(done) > 0 and element_at(done, -1).end >= r.begin then "
-        "concat(slice(done, 1, size(done) - 1), array(named_struct('begin', element_at(done, -1).begin, "
-        "'end', greatest(element_at(done, -1).end, r.end)))) else concat(done, array(r)) end)")
-    return ends.groupBy("row").agg(ranges.alias("ranges")).withColumn("spans", united).select(
-        "row", "spans", F.expr("aggregate(spans, 0L, (n, r) -> n + r.end - r.begin)").alias("n_hit"))
+    """Per row the united word ranges of its hits, and the words in them."""
+    in_order = Window.partitionBy("row").orderBy("begin", "end")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = hits.select("row", "begin", "end").distinct().withColumn("reach", F.max("end").over(earlier))
+    opened = ranges.withColumn("span", F.sum(F.coalesce((F.col("begin") > F.col("reach")).cast("long"), F.lit(1))).over(in_order))
+    united = opened.groupBy("row", "span").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    return united.groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"), F.sum(F.col("end") - F.col("begin")).alias("n_hit"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
