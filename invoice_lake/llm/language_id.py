@@ -19,8 +19,10 @@ from invoice_lake.llm.words import Texts, slabs
 WIDTH, CENTROIDS, PER_LANGUAGE = 4096, 4, 1500
 #: More values of lang than this are an error; it bounds what is broadcast.
 MAX_LANGUAGES = 1000
-#: A document is rejected when its cosine is below this part of the lowest 0.1 % among its language's fitted documents.
-REJECT = 0.5
+#: A cluster with less than this part of its language's rows is dropped, and its rows go to the others.
+LEAST_SHARE = 0.05
+#: A document is rejected when its cosine is below this part of the median cosine among its language's fitted documents.
+REJECT = 1 / 3
 UNDETERMINED = "und"
 _ASCII_LETTERS = np.zeros(256, bool)
 _ASCII_LETTERS[0x41:0x5B] = _ASCII_LETTERS[0x61:0x7B] = True
@@ -35,16 +37,23 @@ class LanguageModel:
 
 
 def _cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """Centroids of unit rows by cosine; the first is the row nearest the mean, each next one the least covered row."""
-    picked = [int(np.argmax(rows @ rows.mean(axis=0)))]
-    best = rows @ rows[picked[0]]
-    while len(picked) < min(k, len(rows)):
-        picked.append(int(np.argmin(best)))
-        best = np.maximum(best, rows @ rows[picked[-1]])
-    centroids = rows[picked]
+    """At most k centroids of unit rows by cosine, none of them for a few odd rows.
+
+    The first start is the row nearest the mean; each next one is drawn in proportion to the distance from those before, with a
+    fixed seed, so most starts lie in the bulk. Clusters below ``LEAST_SHARE`` are dropped in every round, never the largest.
+    """
+    draw = np.random.default_rng(7)
+    centroids = rows[[int(np.argmax(rows @ rows.mean(axis=0)))]]
+    gaps = np.maximum(1 - rows @ centroids[0], 0)
+    while len(centroids) < min(k, len(rows)) and gaps.sum() > 1e-6 * len(rows):
+        sums = np.cumsum(gaps, dtype=np.float64)
+        centroids = np.vstack([centroids, rows[int(np.searchsorted(sums, draw.random() * sums[-1]))]])
+        gaps = np.minimum(gaps, np.maximum(1 - rows @ centroids[-1], 0))
     for _ in range(rounds):
         nearest = np.argmax(rows @ centroids.T, axis=1)
-        sums = np.stack([rows[nearest == i].sum(axis=0) if (nearest == i).any() else centroids[i] for i in range(len(centroids))])
+        sizes = np.bincount(nearest, minlength=len(centroids))
+        stay = np.flatnonzero((sizes >= max(1, LEAST_SHARE * len(rows))) | (sizes == sizes.max()))
+        sums = np.stack([rows[nearest == i].sum(axis=0) for i in stay])
         centroids = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
     return centroids
 
@@ -54,10 +63,10 @@ def _fit_language(group: pa.Table, weights: np.ndarray) -> pa.Table:
     rows = features_of(group.select(["text"]), len(weights), letter_grams, lambda counts: damp(counts, weights))
     rows = rows[rows.any(axis=1)]
     centroids = _cluster(rows, CENTROIDS) if len(rows) else np.zeros((0, len(weights)), np.float32)
-    low = float(np.quantile((rows @ centroids.T).max(axis=1), 0.001)) if len(rows) else 0.0
+    usual = float(np.median((rows @ centroids.T).max(axis=1))) if len(rows) else 0.0
     return pa.table({
         "lang": pa.array([group["lang"][0].as_py()] * len(centroids), pa.string()),
-        "cutoff": pa.array([REJECT * low] * len(centroids), pa.float64()),
+        "cutoff": pa.array([REJECT * usual] * len(centroids), pa.float64()),
         "centroid": pa.array([c.astype(np.float32).tobytes() for c in centroids], pa.binary())})
 
 
