@@ -210,6 +210,51 @@ def test_windows_share_fingerprints():
         assert meaning.setdefault(h, p) == p
 
 
+def _hits_by_brute_force(docs, items):
+    """(n_words, n_hit, items) of each text by comparing all windows of words."""
+    windows = collections.defaultdict(set)
+    for item, text in items:
+        w = text.split()
+        n = min(10, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            windows[tuple(w[i:i + n])].add(str(item))
+    for doc, text in docs:
+        w, hit, found = text.split(), set(), set()
+        for n in {len(k) for k in windows}:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i:i + n]) in windows:
+                    hit.update(range(i, i + n))
+                    found |= windows[tuple(w[i:i + n])]
+        yield doc, len(w), len(hit), tuple(sorted(found))
+
+
+@pytest.mark.parametrize("seed, vocabulary", [(1, 2), (2, 3), (3, 40)])
+def test_every_shared_window_is_found(spark, seed, vocabulary):
+    """Few words make ties among gram hashes; shared spans have nine to thirteen words, at any place of both texts."""
+    rng = np.random.default_rng(seed)
+    def words(n):
+        return [f"t{i}" for i in rng.integers(0, vocabulary, n)]
+    items = [(i, words(n)) for i, n in enumerate([0, 9, 10, 10, 11, 14, 30, 60, 60])]
+    docs = []
+    for i in range(60):
+        _, item = items[rng.integers(1, len(items))]
+        size = int(rng.integers(9, 14))
+        at = int(rng.integers(0, max(1, len(item) - size + 1)))
+        docs.append((i, words(rng.integers(0, 12)) + item[at:at + size] + words(rng.integers(0, 12))))
+    items += [(90, items[7][1]), (91, items[7][1][:40])]
+    docs, items = ([(i, " ".join(w)) for i, w in rows] for rows in (docs, items))
+    out = decontamination.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids)) for r in out.collect()) == list(_hits_by_brute_force(docs, items))
+
+
+def test_kept_grams_are_thinned():
+    words, first = texts_of(pa.array([LONG, None, "a b c"])).words(ALNUM_WORDS, LOWER)
+    prints, places = decontamination.kept_grams(words, first, 10)
+    assert len(places) == len(set(places.tolist())) < 0.5 * len(words)
+    assert np.diff(places).max() <= 10 - decontamination.GRAM + 1
+
+
 def test_quality_rules(odd, documents, labels):
     model = quality_rules.fit_quality(documents, labels)
     out = quality_rules.judge(odd, model)
@@ -240,6 +285,52 @@ def test_classifiers_on_the_held_out_fold(spark):
     assert np.mean([r.lang == r.lang_pred for r in out]) > 0.98 and np.mean([r.lang_rejected for r in out]) < 0.01
 
 
+FOREIGN = [
+    "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto",
+    "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem",
+    "bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana sahiptirler",
+    "все люди рождаются свободными и равными в своем достоинстве и правах",
+    " ".join(hashlib.sha256(bytes([i])).hexdigest() for i in range(30)),
+    " ".join("".join(chr(97 + b % 26) for b in hashlib.sha256(bytes([i])).digest()[:4 + i % 6]) for i in range(200)),
+]
+
+
+def test_foreign_texts_and_noise_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet")
+    model = language_id.fit_languages(docs.where(~held_out()))
+    odd = spark.createDataFrame(list(enumerate(FOREIGN)), "doc_id long, text string")
+    assert [r.lang_rejected for r in language_id.identify(odd, model).collect()] == [True] * len(FOREIGN)
+    again = language_id.fit_languages(docs.where(~held_out()).orderBy(F.rand(5)).repartition(7))
+    assert again.languages == model.languages and np.array_equal(again.centroids, model.centroids)
+
+
+def test_clusters_are_no_single_odd_rows():
+    rng = np.random.default_rng(4)
+    bulk = np.repeat(np.eye(3, 20), [200, 150, 100], axis=0) + rng.normal(0, 0.05, (450, 20))
+    rows = np.vstack([bulk, np.eye(20)[[10, 11, 12]]]).astype(np.float32)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    centroids = language_id._cluster(rows, 6)
+    members = np.bincount(np.argmax(rows @ centroids.T, axis=1), minlength=len(centroids))
+    assert members.min() >= language_id.LEAST_SHARE * len(rows) and len(centroids) > 1
+    assert len(language_id._cluster(rows[:1], 4)) == len(language_id._cluster(np.repeat(rows[:1], 9, axis=0), 4)) == 1
+
+
+def test_nearest_centroid_equals_a_plain_comparison(documents):
+    model = language_id.fit_languages(documents.where(~held_out()))
+    texts = [r.text for r in documents.where("text is not null").orderBy("doc_id").limit(40).collect()]
+    found = language_id.identify(documents.select("doc_id", "text"), model).where("text is not null").orderBy("doc_id").limit(40).collect()
+    for text, row in zip(texts, found):
+        counts = language_id.letter_grams(texts_of(pa.array([text])), language_id.WIDTH)
+        vector = language_id.damp(counts, model.weights)[0].astype(float)
+        cosines = [(sum(a * b for a, b in zip(vector, c.astype(float)) if a), lang) for c, lang in zip(model.centroids, model.languages)]
+        best = max(cosines)
+        if not any(c.isalpha() for c in text):
+            assert (row.lang_pred, row.lang_score) == ("und", 0)
+            continue
+        assert row.lang_score == pytest.approx(min(1, max(0, best[0])), abs=1e-4)
+        assert row.lang_pred in {lang for c, lang in cosines if c > best[0] - 1e-4}
+
+
 def test_classifiers_on_odd_rows(odd, documents, labels):
     model = language_id.fit_languages(documents)
     rows = language_id.identify(odd, model).collect()
