@@ -6,8 +6,11 @@ Each stage takes the Parquet that the one before wrote and returns a DataFrame;
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from invoice_lake.llm.decontamination import drop_contaminated
 from invoice_lake.llm.language_id import fit_languages, identify
@@ -21,15 +24,23 @@ from invoice_lake.llm.storage import settle
 NEAR_COPIES = {"percent": 80, "bands": 40, "band_rows": 5}
 
 
+def _unchanged(docs: DataFrame, decide: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that ``decide`` keeps, with all columns as they were, also those named like a column that ``decide`` adds."""
+    others = [name for name in docs.columns if name != "text"]
+    kept = decide(docs.select("text", F.struct(*others).alias("record")))
+    return kept.select(*["text" if name == "text" else F.col("record").getField(name).alias(name) for name in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found with enough certainty."""
-    return identify(docs, fit_languages(docs.where(~held_out()))).where("not lang_rejected").select(*docs.columns)
+    model = fit_languages(docs.where(~held_out()))
+    return _unchanged(docs, lambda rows: identify(rows, model).where("not lang_rejected"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the fixed rules and the calibrated model keep."""
     model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judge(docs, model).where("quality_kept").select(*docs.columns)
+    return _unchanged(docs, lambda rows: judge(rows, model).where("quality_kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
