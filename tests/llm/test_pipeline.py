@@ -50,6 +50,17 @@ def test_rows_with_null_or_shared_ids_are_judged_one_by_one(spark):
         ("3", "one two"), ("5", "four"), ("None", ""), ("None", "None"), ("None", "three")]
 
 
+def test_columns_named_like_results_stay(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    marked = docs.selectExpr("*", "-doc_id as n_words", "doc_id as lang_score", "'x' as quality_kept", "doc_id % 7 as __kept")
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        plain, out = stage(spark, docs, SF_DIR), stage(spark, marked, SF_DIR)
+        assert out.schema.names == marked.schema.names
+        rows = out.select("doc_id", "n_words", "lang_score", "quality_kept", "__kept").collect()
+        assert all(tuple(r) == (r[0], -r[0], r[0], "x", r[0] % 7) for r in rows), name
+        assert sorted(r[0] for r in rows) == sorted(r.doc_id for r in plain.select("doc_id").collect()), name
+
+
 def test_empty_and_null_rows(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     extra = spark.createDataFrame([(None, None, None, None, None), (-5, "", "en", "x", 0), (-6, None, None, None, None)], docs.schema)
