@@ -242,6 +242,48 @@ def _with_series(*parts: str, series: str) -> str:
 
 
 def statements() -> dict[str, str]:
+    """One SQL statement per registered query."""
+    found = _statements()
+    cleaned = found["silver_items"]
+    lines = "(SELECT strftime(l_shipdate, '%Y-%m') AS periodo, * FROM lineitem)"
+    months = ("SELECT strftime(l_shipdate, '%Y-%m') AS periodo FROM lineitem"
+              " UNION SELECT strftime(o_orderdate, '%Y-%m') FROM orders")
+    item_months = months.replace("UNION", "WHERE year(l_shipdate) = 1998 UNION") + " WHERE year(o_orderdate) = 1998"
+    columns = "l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber"
+    return found | {
+        "archive_items": cleaned,
+        "archive_invoices": (
+            "SELECT lpad(CAST(o_orderkey AS VARCHAR), 44, '0') AS chave, strftime(o_orderdate, '%Y-%m') AS periodo,"
+            " o_orderpriority || '; \"' || o_orderstatus || '\"' || chr(10) || 'fim' AS natureza,"
+            " replace(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS valor FROM orders"
+        ),
+        "archive_rejects": (
+            "SELECT periodo, 'itens: expected 8 fields, found 9' AS motivo,"
+            f" CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 2 ELSE 1 END) AS BIGINT) AS n FROM {lines} l WHERE l_linenumber = 1 GROUP BY 1"
+            f" UNION ALL SELECT '20' || substr(periodo, 3), 'expected 3 files, found 2', 1 FROM ({item_months}) m"
+        ),
+        "archive_row_counts": (
+            f"SELECT 'itens' AS tabela, COUNT(*) AS n FROM ({cleaned}) c"
+            " UNION ALL SELECT 'nf', COUNT(*) FROM orders WHERE o_orderkey <> 7"
+            " UNION ALL SELECT 'eventos', 2 * COUNT(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderkey <> 7"
+            f" UNION ALL SELECT 'meses', COUNT(*) FROM ({months}) m"
+        ),
+        "stream_load": (
+            f"SELECT periodo, COUNT(*) AS n, CAST(SUM(CAST(valor_total AS DECIMAL(18,2))) AS DOUBLE) AS valor_total FROM ({cleaned}) c"
+            " WHERE periodo >= '1998-05' OR cpf_emitente IS NOT NULL GROUP BY 1"
+        ),
+        "regional_csv": found["regional_text"],
+        "plain_csv": (
+            f"SELECT {columns}, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS valor,"
+            " regexp_replace(regexp_replace(CAST(CAST(l_discount AS DECIMAL(38,10)) AS VARCHAR), '0+$', ''), '\\.$', '.0')"
+            " AS desconto, CASE WHEN l_quantity > 25 THEN 'true' WHEN l_quantity <= 25 THEN 'false' END AS acima,"
+            " '[' || concat_ws(', ', l_returnflag, l_linestatus) || ']' AS marcas FROM lineitem"
+        ),
+        "header_years": _with(ITEMS, f"SELECT DISTINCT ano FROM itens WHERE {_IN_YEARS}"),
+    }
+
+
+def _statements() -> dict[str, str]:
     pivoted = (ITEMS, GROUP_A, TYPE_LONG, TYPE_PIVOT)
     document = NORMALIZED.format(c="text")
     keyword = NORMALIZED.format(c="trim('  ' || text || ' ')")

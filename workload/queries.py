@@ -13,7 +13,8 @@ from invoice_lake.operators import cleaning, marts, matching, quality, states
 from invoice_lake.plans import inquiries, lake, reports
 from invoice_lake.session import shared_folder
 from invoice_lake.sources import delivery, layers, mappings
-from workload import views
+from invoice_lake.streaming.monthly import stream_archives
+from workload import archives, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 YEARS = (1997, 1998, 1999, 2000)
@@ -172,6 +173,88 @@ def silver_items(spark, sf):
     return plain(typed.withColumn("data_emissao", F.date_format("data_emissao", "yyyy-MM-dd HH:mm:ss")))
 
 
+# --- archives ----------------------------------------------------------------------------------
+
+
+INVALID_KEY = "0" * 43 + "7"
+
+
+def _raw_tables(spark, sf):
+    return {"itens": views.raw_items(spark, sf), "nf": archives.raw_invoices(spark, sf), "eventos": archives.raw_events(spark, sf)}
+
+
+_LAKES: dict[tuple[str, str], tuple[str, dict[str, int]]] = {}
+
+
+def _delivered(spark, sf):
+    """A lake loaded from archives of all months, once per session, and the rows that the load reports per silver table.
+
+    Each month has an older delivery with other texts, and items with a field too many. Archives of two members stand a
+    hundred years later.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _LAKES:
+        return _LAKES[key]
+    landing, root, staging = (shared_folder(spark, name) for name in ("entrada", "lago", "descompactados"))
+    tables = _raw_tables(spark, sf)
+    older = tables | {"itens": tables["itens"].withColumn("DESCRIÇÃO DO PRODUTO/SERVIÇO", F.lit("entrega anterior"))}
+    archives.deliver(spark, landing, "NFe_1", older)
+    archives.deliver(spark, landing, "NFe_2", tables, archives.broken_items(spark, sf))
+    later = F.concat(F.lit("20"), F.substring("periodo", 3, 5))
+    archives.deliver(spark, landing, "NFe_1", {
+        table: tables[table].where("periodo like '1998-%'").withColumn("periodo", later) for table in ("itens", "nf")})
+    lake.load_bronze(spark, landing, root, staging)
+    _LAKES[key] = root, lake.load_silver(spark, root, invalid_keys=[INVALID_KEY])
+    return _LAKES[key]
+
+
+@register
+def archive_items(spark, sf):
+    """Archives to bronze to silver: the items of the latest delivery, cleaned."""
+    root, _ = _delivered(spark, sf)
+    items = layers.read_table(spark, root, "silver", "itens").withColumn("periodo", F.col("periodo").cast("string"))
+    return plain(items.withColumn("data_emissao", F.date_format("data_emissao", "yyyy-MM-dd HH:mm:ss")))
+
+
+@register
+def archive_invoices(spark, sf):
+    """Quotes, separators and line breaks inside fields come through the load as they were."""
+    bronze = layers.read_table(spark, _delivered(spark, sf)[0], "bronze", "nf")
+    return bronze.select("CHAVE DE ACESSO", "NATUREZA DA OPERAÇÃO", "VALOR NOTA FISCAL", "periodo").toDF(
+        "chave", "natureza", "valor", "periodo").withColumn("periodo", F.col("periodo").cast("string"))
+
+
+@register
+def archive_rejects(spark, sf):
+    """Records with a field too many, and archives without all members, per month."""
+    noted = layers.read_table(spark, _delivered(spark, sf)[0], "bronze", "rejeitados")
+    return noted.groupBy(F.col("periodo").cast("string").alias("periodo"), "motivo").agg(F.count("*").alias("n"))
+
+
+@register
+def archive_row_counts(spark, sf):
+    """Rows that the load reports to have written in silver, and the months that bronze notes as loaded."""
+    root, rows = _delivered(spark, sf)
+    months = layers.loaded_periods(spark, root, "bronze", "carregados").agg(F.lit("meses").alias("tabela"), F.count("*").alias("n"))
+    return spark.createDataFrame(sorted(rows.items()), "tabela string, n bigint").union(months)
+
+
+@register
+def stream_load(spark, sf):
+    """Items per month after two runs of the stream: months of returned lines only, then later months and one redelivered whole."""
+    landing, root, staging, checkpoint = (shared_folder(spark, n) for n in ("entrada", "lago", "descompactados", "progresso"))
+    tables = _raw_tables(spark, sf)
+    first = {table: df.where("periodo < '1998-06'") for table, df in tables.items()}
+    first["itens"] = first["itens"].where("`CPF/CNPJ Emitente` like '%*%'")
+    second = {table: df.where("periodo >= '1998-05'") for table, df in tables.items()}
+    for name, delivery_of in (("NFe_1", first), ("NFe_2", second)):
+        archives.deliver(spark, landing, name, delivery_of)
+        stream_archives(spark, layers.qualified(spark, landing), root, staging, checkpoint, invalid_keys=[INVALID_KEY]).awaitTermination()
+    items = layers.read_table(spark, root, "silver", "itens")
+    return plain(items.groupBy(F.col("periodo").cast("string").alias("periodo")).agg(
+        F.count("*").alias("n"), F.sum("valor_total").alias("valor_total")))
+
+
 # --- text --------------------------------------------------------------------------------------
 
 
@@ -199,14 +282,48 @@ def mapping_trimmed(spark, sf):
     return mappings.tidy_group_a(rows)
 
 
-@register
-def regional_text(spark, sf):
-    lines = views.table(spark, sf, "lineitem").select(
+def _deliverable(spark, sf):
+    return views.table(spark, sf, "lineitem").select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("valor"), F.col("l_discount").cast("double").alias("desconto"),
         (F.col("l_quantity") > 25).alias("acima"), F.array("l_returnflag", "l_linestatus").alias("marcas"),
     )
-    return delivery.regional_text(lines)
+
+
+@register
+def regional_text(spark, sf):
+    return delivery.regional_text(_deliverable(spark, sf))
+
+
+def _read_back(spark, path, **options):
+    """The rows of a delivered folder by its header, the keys as numbers again."""
+    rows = spark.read.options(header=True, quote='"', escape='"', **options).csv(path)
+    return rows.withColumns({name: F.col(name).cast("bigint") for name in ("l_orderkey", "l_linenumber")})
+
+
+@register
+def regional_csv(spark, sf):
+    """The regional file, written and read back."""
+    path = shared_folder(spark, "regional")
+    delivery.write_regional_csv(_deliverable(spark, sf), path, encoding="ISO-8859-1")
+    return _read_back(spark, path, sep=";", encoding="ISO-8859-1")
+
+
+@register
+def plain_csv(spark, sf):
+    """The plain file, written and read back."""
+    path = shared_folder(spark, "simples")
+    delivery.write_plain_csv(_deliverable(spark, sf), path)
+    return _read_back(spark, path)
+
+
+@register
+def header_years(spark, sf):
+    """Years found in the header of a delivered pivot."""
+    path = shared_folder(spark, "pivo")
+    delivery.write_plain_csv(_type_pivot(spark, sf), path)
+    found = reports.report_years(spark.read.csv(path, header=True))
+    return spark.createDataFrame([(year,) for year in found], "ano bigint")
 
 
 @register
