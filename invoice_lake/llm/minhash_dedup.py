@@ -8,7 +8,8 @@ are candidates. Two rounds turn candidates into links without emitting the pairs
    agree are confirmed inside the task, and one spanning forest of the confirmed pairs comes out.
 
 Every link is confirmed on the full sets. Round 2 leaves no untested candidate between components, so the components
-are those of all candidate pairs. Large buckets are compared block by block; blocks are spread over tasks.
+are those of all candidate pairs. Large buckets are compared block by block, but not blocks of one component with each
+other; blocks are spread over tasks.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from invoice_lake.llm.components import connected_components
@@ -195,18 +196,38 @@ def _star_pairs(members: DataFrame, nodes: DataFrame, percent: int, width: int)
     )
 
 
+def _in_blocks(labelled: DataFrame) -> DataFrame:
+    """Members of the buckets with several components, each with its block and the number of ``blocks`` in its bucket.
+
+    A component of half a block or more has ``own`` blocks of its own from ``first`` on, which needn't meet each other. The
+    smaller ones share the blocks before those; ``first`` is null there. A bucket has at most two blocks of its own
+    components for each full block of rows, so that the sum over them stays short.
+    """
+    share = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+    parts = labelled.groupBy("band", "component").agg(share.alias("share")).withColumn(
+        "own", F.when(F.col("share") >= 0.5, F.ceil("share").cast("int")))
+    mixed = F.ceil(F.coalesce(F.sum(F.when(F.col("own").isNull(), F.col("share"))), F.lit(0.0))).cast("int")
+    buckets = parts.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), mixed.alias("mixed"),
+        (mixed + F.coalesce(F.sum("own"), F.lit(0))).cast("int").alias("blocks")).where("low <> high").select("band", "mixed", "blocks")
+    before = Window.partitionBy("band").orderBy("component").rowsBetween(Window.unboundedPreceding, -1)
+    large = parts.where("own is not null").select("band", "component", "own", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("before"))
+    hashed = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    return (
+        labelled.join(buckets, "band").join(large, ["band", "component"], "left")
+        .withColumn("first", (F.col("mixed") + F.col("before")).cast("int"))
+        .withColumn("block", F.when(F.col("first").isNull(), hashed("mixed")).otherwise(F.col("first") + hashed("own"))))
+
+
 def _rest_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, width: int) -> DataFrame:
     """Links between components that share a bucket, compared block by block."""
     labelled = (
         members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .join(nodes.select("doc_id", "n_shingles", "marks"), "doc_id")
         .withColumn("component", F.coalesce("component", "doc_id")))
-    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
-    open_bands = (
-        labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), blocks.alias("blocks"))
-        .where("low <> high").select("band", "blocks"))
-    rows = labelled.join(open_bands, "band").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    spread = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    placed = _in_blocks(labelled)
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where(
+        "first is null or other < first or other >= first + own").select(
         "band", "doc_id", "component", "n_shingles", "marks", "block",
         F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     return spread.join(sets, "doc_id").groupBy("band", "lo", "hi").applyInArrow(
