@@ -113,7 +113,9 @@ def test_token_counts(odd):
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len((r.text or "").encode()), n, n > 512)
 
 
-def test_near_duplicates(odd, documents):
+@pytest.mark.parametrize("block", [minhash_dedup.BLOCK, 3])
+def test_near_duplicates(odd, documents, block, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", block)
     docs = odd.select("doc_id", "text", "n_words").unionByName(
         documents.select((F.col("doc_id") + 1000).alias("doc_id"), "text", F.lit(1).cast("long").alias("n_words")))
     out = {r.doc_id: r for r in minhash_dedup.near_duplicates(docs).collect()}
@@ -141,6 +143,29 @@ def test_near_duplicates(odd, documents):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {k for k in out if out[k].kept}
 
 
+def test_blocks_of_one_component_do_not_meet(spark, monkeypatch):
+    """A bucket of one large, one middle and many small components, and buckets of one component or of large ones only."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 10)
+    sizes = {1: {1: 95, 1000: 6, **{2000 + i: 1 + i % 3 for i in range(20)}}, 2: {1: 40}, 3: {1: 12, 500: 17}, 4: {1: 1, 2: 1}}
+    rows = [(band, low + i, low, 7) for band, parts in sizes.items() for low, n in parts.items() for i in range(n)]
+    labelled = spark.createDataFrame(rows, "band long, doc_id long, component long, n_shingles long").withColumn("marks", F.lit(b""))
+    placed = minhash_dedup._in_blocks(labelled).collect()
+    assert sorted((r.band, r.doc_id) for r in placed) == sorted((b, d) for b, d, *_ in rows if b != 2)
+    for band in (1, 3, 4):
+        inside = [r for r in placed if r.band == band]
+        others = lambda r: {o for o in range(r.blocks) if r.first is None or not r.first <= o < r.first + r.own}
+        for r in inside:
+            assert 0 <= r.block < r.blocks
+            for x in inside:
+                if x.component != r.component:
+                    assert x.block in others(r) and r.block in others(x)
+                elif r.first is not None:
+                    assert x.block not in others(r)
+        rows_met = sum(len(others(r)) for r in inside)
+        assert rows_met <= len(inside) * (1 + len(sizes[band]))
+    assert {r.blocks for r in placed if r.band == 3} == {2 + 2} and {r.blocks for r in placed if r.band == 4} == {1}
+
+
 def test_blocks_confirm_all_links():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 60, 200)
@@ -509,6 +534,13 @@ def test_sharding(spark, odd, documents):
     assert sharding.write_shards(odd.limit(0), scratch_path(spark, "test-shards")).count() == 0
 
 
+def test_one_id_is_spread_over_buckets(spark):
+    docs = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    written = sharding.write_shards(docs, scratch_path(spark, "test-shards"), bucket_bytes=2000)
+    tasks = written.groupBy(F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).alias("task")).count().collect()
+    assert sum(r["count"] for r in tasks) == 2000 and len(tasks) > 10 and max(r["count"] for r in tasks) < 200
+
+
 def test_permutations_are_uniform():
     seen = collections.Counter(tuple(sharding.fisher_yates(3, 1, b)) for b in range(6000))
     assert len(seen) == 6 and min(seen.values()) > 850
