@@ -368,6 +368,16 @@ def _statements() -> dict[str, str]:
             " (SELECT periodo, CASE WHEN numero_produto <> 7 THEN chave_de_acesso END AS chave FROM itens) k"
             " WHERE chave <> lpad('7', 44, '0') GROUP BY 1",
         ),
+        "keyed_repeated_keys": _with(
+            ITEMS,
+            "SELECT chave_de_acesso, COUNT(*) AS registros, CAST(SUM(valor_total) AS DOUBLE) AS total FROM itens"
+            " GROUP BY 1 HAVING COUNT(*) > 1",
+        ),
+        "keyed_repeated_rows": _with(
+            ITEMS,
+            "SELECT periodo, COUNT(*) AS n_antes, COUNT(DISTINCT (chave_de_acesso, numero_produto)) AS n_depois"
+            " FROM itens GROUP BY 1",
+        ),
         "dedup_rows": _with(
             ITEMS,
             "SELECT periodo, COUNT(*) AS n_antes, COUNT(DISTINCT (chave_de_acesso, numero_produto)) AS n_depois"

@@ -12,7 +12,7 @@ from invoice_lake.functions import codes, parsing, periods, text
 from invoice_lake.operators import cleaning, marts, matching, quality, states
 from invoice_lake.plans import inquiries, lake, reports
 from invoice_lake.session import shared_folder
-from invoice_lake.sources import delivery, layers, mappings
+from invoice_lake.sources import delivery, keyed, layers, mappings
 from invoice_lake.streaming.monthly import stream_archives
 from workload import archives, views
 
@@ -173,6 +173,29 @@ def silver_items(spark, sf):
     return plain(typed.withColumn("data_emissao", F.date_format("data_emissao", "yyyy-MM-dd HH:mm:ss")))
 
 
+KEYED_BUCKETS = 4
+
+
+def _keyed_items(spark, sf):
+    """Items in buckets of their invoice key, written in two loads; the second delivers some months of the first again."""
+    lines = views.items(spark, sf, "chave_de_acesso", "numero_produto", "valor_total", "periodo")
+    root, of = shared_folder(spark, "keyed"), ("silver", "itens", "chave_de_acesso", KEYED_BUCKETS)
+    keyed.write_keyed(lines.where("periodo < '1999-01'"), root, *of)
+    keyed.write_keyed(lines.where("periodo >= '1998-10'"), root, *of)
+    return keyed.read_keyed(spark, root, *of, lines.schema)
+
+
+@register
+def keyed_repeated_keys(spark, sf):
+    return plain(quality.repeated_keys(_keyed_items(spark, sf), value="valor_total"))
+
+
+@register
+def keyed_repeated_rows(spark, sf):
+    lines = _keyed_items(spark, sf).select("chave_de_acesso", "numero_produto", "periodo")
+    return quality.repeated_rows_by(lines, "periodo")
+
+
 # --- archives ----------------------------------------------------------------------------------
 
 
