@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from invoice_lake.operators import marts, matching, quality
 from invoice_lake.plans import inquiries, reports
-from tests.conftest import column
+from tests.conftest import column, plan
 
 YEARS = (2022, 2023, 2024, 2025)
 
@@ -186,3 +186,38 @@ def test_signed_totals(spark, make_items):
 def test_foreign_suppliers(spark):
     df = spark.createDataFrame([("EX123",), ("EX123",), ("12EX",)], "cpf_cnpj_emitente string")
     assert [tuple(r) for r in inquiries.suppliers_with_prefix(df).collect()] == [("EX123", 2)]
+
+
+def test_reports_from_linked_items_are_those_from_chain_items(make_items, make_chains):
+    """Copies of an item key with other codes, values and suppliers, unset keys and CNAEs."""
+    codes = ("88062100", "84244100", "84240000", "99990000")
+    items = make_items(*[
+        {"chave_de_acesso": f"K{i % 7}" if i % 5 else None, "numero": i % 2, "numero_produto": i % 3 or None,
+         "codigo_ncm_sh": codes[i % 4], "valor_total": 10 + i, "cnpj_emitente": 100 + i % 6 if i % 6 else None,
+         "cpf_emitente": "***" if i % 4 else None, "data_emissao": f"{2023 + i % 3}-01-01", "descricao_do_produto_servico": f"d{i % 2}"}
+        for i in range(80)])
+    chains = make_chains(("C1", "8806", "X"), ("C1", "84", "Y"), ("C1", "84244100"), ("C2", "8424", "X"), ("C2", "88", "Z"))
+
+    def linked(by, dedup=("codigo_cadeia",), **options):
+        return matching.chain_links(items, chains, YEARS, dedup, by, **options)
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    whole, cnae = (matching.chain_items(items, chains, YEARS, dedup) for dedup in (("codigo_cadeia",), ("codigo_cadeia", "cnae")))
+    assert whole.count() == linked(("codigo_cadeia",)).items.count() > 0
+    assert rows(marts.chain_summary(linked(marts.CHAIN_KEY), YEARS, 2025)) == rows(marts.chain_summary(whole, YEARS, 2025))
+    assert rows(marts.chain_detail(linked(marts.DETAIL_CHAIN), YEARS)) == rows(marts.chain_detail(whole, YEARS))
+    by_cnae = linked(marts.CNAE_KEY, ("codigo_cadeia", "cnae"))
+    assert rows(marts.chain_by_cnae(by_cnae, YEARS)) == rows(marts.chain_by_cnae(cnae, YEARS))
+    both = linked(marts.CHAIN_KEY, carried=("cadeia", "cnae"))
+    assert rows(marts.chain_global_totals(both, 2025)) == rows(marts.chain_global_totals(whole, 2025))
+
+
+def test_items_pass_their_shuffles_before_they_stand_once_per_chain(make_items, make_chains):
+    found = matching.chain_items(make_items(), make_chains(("C1", "8806"), ("C2", "8806")), YEARS)
+    lines = plan(found).splitlines()
+    expanded = [i for i, line in enumerate(lines) if "inline(" in line]
+    dealt = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line and "numero" in line]
+    assert expanded and dealt and expanded[0] < dealt[0]
+    assert "Expand" not in plan(found) and found.count() == 2
