@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from invoice_lake.operators.cleaning import drop_repeated_rows
 from invoice_lake.operators.quality import count_repeated_keys, repeated_keys
 from invoice_lake.sources.keyed import read_keyed, write_keyed
+from invoice_lake.sources.layers import qualified
 from tests.conftest import plan
 
 OF = ("silver", "itens", "chave_de_acesso", 3)
@@ -71,3 +72,17 @@ def test_a_table_never_written(spark, tmp_path):
     assert read_keyed(spark, str(tmp_path), *OF, empty.schema).count() == 0
     assert write_keyed(empty, str(tmp_path), *OF) == 0
     assert read_keyed(spark, str(tmp_path), *OF, empty.schema).count() == 0
+
+
+def test_a_cluster_takes_local_paths_below_its_shared_folders_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://other:7077"))
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
+    try:
+        assert qualified(spark, f"{tmp_path}/shared/lago-1") == f"file:{tmp_path}/shared/lago-1"
+        assert qualified(spark, spark.conf.get("spark.sql.warehouse.dir") + "/t").startswith("file:")
+        for other in (f"{tmp_path}/shared-not", f"{tmp_path}/shared/../other", str(tmp_path)):
+            with pytest.raises(ValueError):
+                qualified(spark, other)
+    finally:
+        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
