@@ -239,19 +239,40 @@ def _runs(text: Column, lengths: Sequence[int]) -> Column:
     return F.transform(F.array(F.split(text, "")), of)[0]
 
 
+#: What separates words in texts; a needle without it lies within one word.
+_BLANKS = r"[ \t\n\r]+"
+
+
 def match_keyword_table(texts: DataFrame, text: str, keywords: DataFrame, needle: str, k: int = 3) -> DataFrame:
     """(text_id, needle) of every needle that a text contains, for a keyword table of any size; text_id is the text's md5.
 
-    Each needle is looked up by the rarest of its runs of ``k`` characters (by the whole of it, if it has fewer): texts and
-    needles meet in an equality on that run. The needles met are gathered per text, and the text checks them in one expression, so
-    it passes one shuffle, whatever number of runs and needles it has. Needles are taken literally; empty and null ones find nothing.
+    A needle without blanks lies within a word, so it is looked up in the distinct words of all texts, and the texts meet their
+    words: the work grows with the words that differ, not with the characters. The others are looked up in the texts themselves.
+    Needles are taken literally; empty and null ones find nothing.
     """
     named = texts.where(F.col(text).isNotNull()).select(F.md5(text).alias("text_id"), F.col(text).alias("_texto"))
     needles = keywords.select(F.col(needle).alias("_agulha")).where("_agulha <> ''").distinct()
+    blank = F.col("_agulha").rlike(_BLANKS)
+    pieces = F.array_distinct(F.split("_texto", _BLANKS))
+    words = named.select("text_id", F.explode(pieces).alias("_texto")).where("_texto <> ''")
+    found = _contained(words.select(F.col("_texto").alias("text_id"), "_texto").distinct(), needles.where(~blank), k)
+    per_word = found.groupBy(F.col("text_id").alias("_texto")).agg(F.collect_list("_agulha").alias("_agulhas"))
+    within = words.join(per_word, "_texto").select("text_id", F.explode("_agulhas").alias(needle)).distinct()
+    across = _contained(named, needles.where(blank), k).select("text_id", F.col("_agulha").alias(needle))
+    return within.unionByName(across)
+
+
+def _contained(named: DataFrame, needles: DataFrame, k: int) -> DataFrame:
+    """(text_id, _agulha) of every needle that a text (text_id, _texto) contains.
+
+    Each needle is looked up by the rarest of its runs of ``k`` characters (by the whole of it, if it has fewer): texts and
+    needles meet in an equality on that run. The needles met are gathered per text, and the text checks them in one expression, so
+    it passes one shuffle, whatever number of runs and needles it has.
+    """
     sized = needles.withColumn("_k", F.least(F.char_length("_agulha"), F.lit(k)))
     lengths = sorted(row[0] for row in sized.select("_k").distinct().collect())  # at most k values
     if not lengths:
-        return named.select("text_id", F.lit(None).cast("string").alias(needle)).limit(0)
+        return named.select("text_id", F.lit(None).cast("string").alias("_agulha")).limit(0)
     per_needle = sized.select("_agulha", F.explode(_runs(F.col("_agulha"), lengths)).alias("_trecho"), "_k").where(
         F.char_length("_trecho") == F.col("_k")).select("_agulha", "_trecho")
     index = named.select("text_id", F.explode(_runs(F.col("_texto"), lengths)).alias("_trecho")).join(
@@ -261,7 +282,7 @@ def match_keyword_table(texts: DataFrame, text: str, keywords: DataFrame, needle
         F.min(F.struct(F.coalesce("_textos", F.lit(0)).alias("n"), "_trecho")).alias("_r")).where("_r.n > 0").select("_agulha", "_r._trecho")
     met = index.join(rarest, "_trecho").groupBy("text_id").agg(F.collect_list("_agulha").alias("_agulhas"))
     once = named.groupBy("text_id").agg(F.first("_texto").alias("_texto"))
-    return once.join(met, "text_id").select("text_id", F.explode(F.filter("_agulhas", lambda n: F.contains("_texto", n))).alias(needle))
+    return once.join(met, "text_id").select("text_id", F.explode(F.filter("_agulhas", lambda n: F.contains("_texto", n))).alias("_agulha"))
 
 
 def join_keyword_table(df: DataFrame, text: str, keywords: DataFrame, needle: str = "agulha", k: int = 3) -> DataFrame:

@@ -126,3 +126,13 @@ def test_supplier_presence(spark):
     assert sorted((r.cnpj_basico, r.cnpj_disponivel, r.tipo_matriz) for r in rows) == [
         ("12345678", True, "MATRIZ"), ("99999999", False, None)
     ]
+
+
+def test_needles_within_a_word_are_looked_up_in_distinct_words(spark):
+    texts = ["pet azul", "tampa\tpet", "tubo de pvc", "PET", "", None, "a b pet azul", "de", "x" * 50 + " azul"]
+    words = ["pet", "azul", "pet azul", "bo de", "a", "e p", " ", "", None, "x" * 40, "%", "t\tp", "a\tp"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, texto string")
+    table = spark.createDataFrame([(w,) for w in words], "agulha string")
+    expected = sorted((i, w) for i, t in enumerate(texts) for w in words if t is not None and w and w in t)
+    joined = matching.join_keyword_table(df, "texto", table)
+    assert sorted((r.n, r.agulha) for r in joined.where("agulha is not null").collect()) == expected
