@@ -39,40 +39,69 @@ def rank_in_groups(
     # At most rows / hot_rows groups are hot; mostly there is none.
     sizes = keyed.groupBy(*keys).agg(F.sum(value).alias("_total"), F.count("*").alias("_n"))
     hot_groups = sizes.filter(F.col("_n") > hot_rows).select(*keys, "_total", F.lit(True).alias("_hot"))
+    # Both parts read all columns of ``flagged``, so that its shuffles are made once for both.
     flagged = keyed.join(_bounded(hot_groups, hot_rows), keys, "left")
+    hot = flagged.filter("_hot").withColumn(total, F.col("_total"))
 
-    hot = F.col("_hot").isNotNull()
-    sliced = flagged.withColumn("_tie", tie_hash(ties)).withColumns(
+    of_group = Window.partitionBy(*keys)
+    ordered = _ordered(of_group, value, ties, groups)
+    whole_group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = flagged.filter("_hot is null").withColumns(
         {
-            "_band": F.when(hot, F.coalesce(_band(F.col(value)), F.lit(_LAST_BAND))),
-            "_level": F.when(hot, F.coalesce(F.col(value).cast("string"), F.lit(""))),
-            "_slice": F.when(hot, F.col("_tie")),
+            "_place": F.row_number().over(ordered),
+            total: F.coalesce("_total", F.sum(value).over(whole_group)),
         }
-    )
+    ).withColumn(share, ratio(value, total))
+    extra = [share]
+    if share_total is not None:
+        extra.append(share_total)
+        whole = whole.withColumn(share_total, F.sum(_exact(share)).over(of_group).cast("double"))
+    sliced = _ranked_in_slices(hot, keys, value, ties, groups, total, share, share_total)
+
+    ranked = [*df.columns, total, F.col("_place").cast("bigint").alias(rank), *extra]
+    return whole.select(*ranked).union(sliced.select(*ranked))
+
+
+def _ordered(within: Window, value: str, ties: Sequence[str], groups: Sequence[str]) -> Window:
+    """Within a group ``groups`` decide nothing; they are named so that every part reads the same columns."""
+    return within.orderBy(F.desc_nulls_last(value), tie_hash(ties), *[F.asc_nulls_last(name) for name in (*ties, *groups)])
+
+
+def _ranked_in_slices(
+    hot: DataFrame, keys: Sequence[str], value: str, ties: Sequence[str], groups: Sequence[str],
+    total: str, share: str, share_total: str | None,
+) -> DataFrame:
+    """Rows of hot groups, which know their group's total, with ``_place``, the share and on request the sum of shares."""
     piece = [*keys, "_band", "_level", "_slice"]
-    within = Window.partitionBy(*piece)
-    ordered = within.orderBy(
-        F.desc_nulls_last(value), F.asc("_tie"), *[F.asc_nulls_last(name) for name in ties]
-    )
-    placed = sliced.withColumns(
+    sliced = hot.withColumns(
         {
-            "_place": F.row_number().over(ordered),
-            total: F.when(hot, F.col("_total")).otherwise(F.sum(value).over(within)),
+            "_band": F.coalesce(_band(F.col(value)), F.lit(_LAST_BAND)),
+            "_level": F.coalesce(F.col(value).cast("string"), F.lit("")),
+            "_slice": tie_hash(ties),
         }
+    ).repartition(*piece)  # a join by the keys leaves all slices of a group in one task
+    within = Window.partitionBy(*piece)
+    placed = sliced.withColumns(
+        {"_in_slice": F.row_number().over(_ordered(within, value, ties, groups)), "_n": F.count("*").over(within)}
     ).withColumn(share, ratio(value, total))
-    if share_total is not None:
-        placed = _add_share_total(placed, keys, within, share, share_total, hot_rows)
+    # Counted where the slices are numbered, so that the rows are shuffled once for both.
+    before = _rows_before(placed.filter("_in_slice = 1"), keys, value, total, share)
+    ranked = placed.join(before, piece).withColumn("_place", F.col("_in_slice") + F.col("_before"))
+    return ranked if share_total is None else ranked.withColumn(share_total, F.col("_shares").cast("double"))
 
-    before = _rows_before(sliced.filter(hot), keys, value)
-    ranked = placed.join(before, piece, "left")
-    place = (F.col("_place") + F.coalesce("_before", F.lit(0))).cast("bigint")
-    extra = [share] if share_total is None else [share, share_total]
-    return ranked.select(*df.columns, total, place.alias(rank), *extra)
+
+def _exact(share: str) -> Column:
+    """Shares are added up in decimals, so the order is no matter."""
+    return F.col(share).cast("decimal(18,4)")
 
 
 def _bounded(hot: DataFrame, hot_rows: int) -> DataFrame:
-    """Broadcast one row per hot group where each has at least ``HOT_ROWS`` rows; below, Spark chooses by size."""
-    return F.broadcast(hot) if hot_rows >= HOT_ROWS else hot
+    """Broadcast one row per hot group where each has at least ``HOT_ROWS`` rows.
+
+    Below, the list is dealt anew, so that adaptive execution knows its size before the rows meet it: it broadcasts
+    a short list, and without any hot group the steps for those are left out.
+    """
+    return F.broadcast(hot) if hot_rows >= HOT_ROWS else hot.hint("rebalance")
 
 
 def _as_key(name: str) -> Column:
@@ -92,38 +121,29 @@ def _band(value: Column) -> Column:
     return (F.signum(number) * F.floor(F.log1p(F.abs(number)) * 2000)).cast("bigint")
 
 
-def _rows_before(hot: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """For each slice of the hot groups: the number of rows of its group that rank before it."""
-    counts = hot.groupBy(*keys, "_band", "_level", "_slice").agg(
-        F.count("*").alias("_n"), F.first(value).alias("_value")
-    )
+def _rows_before(slices: DataFrame, keys: Sequence[str], value: str, total: str, share: str) -> DataFrame:
+    """For each slice of the hot groups: the number of rows of its group that rank before it, and the group's sum of shares.
+
+    All rows of a slice have the same value, so the same share. ``total`` is one per group; it is named so that
+    both sides of the join read the same columns.
+    """
+    counts = slices.select(*keys, "_band", "_level", "_slice", "_n", value, total, (F.col("_n") * _exact(share)).alias("_shares"))
     earlier = (Window.unboundedPreceding, -1)
 
-    by_band = Window.partitionBy(*keys).orderBy(F.desc("_band")).rowsBetween(*earlier)
-    bands = (
-        counts.groupBy(*keys, "_band").agg(F.sum("_n").alias("_n"))
-        .select(*keys, "_band", F.coalesce(F.sum("_n").over(by_band), F.lit(0)).alias("_before_band"))
+    of_group = Window.partitionBy(*keys)
+    by_band = of_group.orderBy(F.desc("_band")).rowsBetween(*earlier)
+    bands = counts.groupBy(*keys, "_band", total).agg(F.sum("_n").alias("_n"), F.sum("_shares").alias("_shares")).select(
+        *keys, "_band", F.coalesce(F.sum("_n").over(by_band), F.lit(0)).alias("_before_band"),
+        F.sum("_shares").over(of_group).alias("_shares"),
     )
     in_band = (
         Window.partitionBy(*keys, "_band")
-        .orderBy(F.desc_nulls_last("_value"), F.asc("_slice"))
+        .orderBy(F.desc_nulls_last(value), F.asc("_slice"), F.asc(total))
         .rowsBetween(*earlier)
     )
-    sliced = counts.withColumn("_before_slice", F.coalesce(F.sum("_n").over(in_band), F.lit(0)))
+    sliced = counts.drop("_shares").withColumn("_before_slice", F.coalesce(F.sum("_n").over(in_band), F.lit(0)))
     before = (F.col("_before_band") + F.col("_before_slice")).alias("_before")
-    return sliced.join(bands, [*keys, "_band"]).select(*keys, "_band", "_level", "_slice", before)
-
-
-def _add_share_total(
-    placed: DataFrame, keys: Sequence[str], within: Window, share: str, share_total: str, hot_rows: int
-) -> DataFrame:
-    """Sum of the rounded shares per group. It is added up in decimals, so the order is no matter."""
-    exact = F.sum(F.col(share).cast("decimal(18,4)"))
-    hot = F.col("_hot").isNotNull()
-    hot_sums = placed.filter(hot).groupBy(*keys).agg(exact.alias("_shares"))
-    summed = placed.join(_bounded(hot_sums, hot_rows), keys, "left")
-    value = F.when(hot, F.col("_shares")).otherwise(exact.over(within))
-    return summed.withColumn(share_total, value.cast("double"))
+    return sliced.join(bands, [*keys, "_band"]).select(*keys, "_band", "_level", "_slice", before, "_shares")
 
 
 def ratio(part: Column | str, whole: Column | str, digits: int = 4) -> Column:

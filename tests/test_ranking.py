@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from invoice_lake.operators.ranking import rank_in_groups, tie_hash
+from tests.conftest import plan
 
 
 @pytest.fixture(scope="module")
@@ -35,3 +36,21 @@ def test_hot_groups_rank_like_small_ones(totals, hot_rows):
     )
     names = ["ano", "g", "v", "d", "t", "r", "p", "pt"]
     assert sorted(map(str, ranked.select(names).collect())) == sorted(map(str, expected.select(names).collect()))
+
+
+@pytest.mark.parametrize("hot_rows, sliced", [(10**6, False), (20, True)])
+def test_rows_are_read_once_and_sliced_only_in_hot_groups(spark, tmp_path, totals, hot_rows, sliced):
+    path = str(tmp_path / "totais")
+    totals.repartition(3).write.parquet(path)
+    read = spark.read.parquet(path).groupBy("ano", "g", "d").agg(F.sum("v").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for lists of hot groups too long to broadcast
+    try:
+        ranked = rank_in_groups(read, ["ano", "g"], "v", ["d"], "r", "t", "p", "pt", hot_rows=hot_rows)
+        rows = ranked.collect()
+        final = plan(ranked).split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    expected = rank_in_groups(read, ["ano", "g"], "v", ["d"], "r", "t", "p", "pt")
+    assert sorted(map(str, rows)) == sorted(map(str, expected.collect()))
+    assert final.count("FileScan") == 1
+    assert ("_slice" in final) == sliced
