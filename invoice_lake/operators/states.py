@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from invoice_lake.functions.codes import supplier_id
 from invoice_lake.functions.periods import in_years
-from invoice_lake.operators.matching import code_map, join_codes
+from invoice_lake.operators.matching import code_map
 
 #: Numbers given in one run by one task lie within this range, so those of different tasks and runs never meet.
 TASK_NUMBERS = 1 << 33
@@ -27,14 +27,20 @@ MART_KEY = ("escopo", "tipo", "ano")
 def new_numbers(keys: DataFrame, known: DataFrame | None) -> DataFrame:
     """(chave, numero) of the keys (chave) that ``known`` lacks; numbers follow each other within a task.
 
+    With ``ordem``, the numbers also follow the least ``ordem`` of a key: keys that come in the same period then share few
+    bitmaps, where numbers in any order would set a few bits in each of very many.
     The numbers depend on how Spark deals the rows: write the result before it is used.
     """
-    fresh = keys.where("chave is not null").distinct()
+    in_order = "ordem" in keys.columns
+    fresh = keys.where("chave is not null")
+    fresh = fresh.groupBy("chave").agg(F.min("ordem").alias("ordem")) if in_order else fresh.distinct()
     base = F.lit(0)
     if known is not None:
         fresh = fresh.join(known.select("chave"), "chave", "left_anti")
         highest = known.agg(F.max("numero")).first()[0]
         base = F.lit(0 if highest is None else (highest // TASK_NUMBERS + 1) * TASK_NUMBERS)
+    if in_order:
+        fresh = fresh.repartitionByRange("ordem", "chave").sortWithinPartitions("ordem", "chave")
     return fresh.select("chave", (F.monotonically_increasing_id() + base).alias("numero"))
 
 
@@ -43,27 +49,22 @@ def supplier_keys(items: DataFrame) -> DataFrame:
 
 
 def invoice_keys(items: DataFrame) -> DataFrame:
-    return items.select(F.col("chave_de_acesso").alias("chave"))
+    month = F.regexp_replace("periodo", r"\D", "").try_cast("int")  # a number, so that the least one is found by hash aggregation
+    return items.select(F.col("chave_de_acesso").alias("chave"), month.alias("ordem"))
 
 
 def typed_values(items: DataFrame, mapping: DataFrame, *keep: str) -> DataFrame:
     """Value per scope, type, year, invoice and supplier of the items with a mapped code.
 
-    Under ``ALL_TYPES`` an item stands once, whatever number of types its code has.
+    Under ``ALL_TYPES`` an item stands once, whatever number of types its code has. The items are read and joined once.
     """
-    codes = code_map(mapping).select(F.col("ncm").alias("codigo_ncm_sh")).distinct()
-    parts = [
-        (join_codes(items, mapping), BY_TYPE, F.col("tipo")),
-        (items.join(codes, "codigo_ncm_sh", "left_semi"), ALL_TYPES, F.lit(None).cast("string")),
-    ]
-    both = None
-    for rows, scope, kind in parts:
-        part = rows.groupBy(
-            *keep, F.lit(scope).alias("escopo"), kind.alias("tipo"), F.year("data_emissao").cast("bigint").alias("ano"),
-            "chave_de_acesso", supplier_id().alias("fornecedor"),
-        ).agg(F.sum("valor_total").alias("valor"))
-        both = part if both is None else both.unionByName(part)
-    return both
+    typed = code_map(mapping).withColumnRenamed("ncm", "codigo_ncm_sh")
+    of_types = typed.select("codigo_ncm_sh", F.lit(BY_TYPE).alias("escopo"), "tipo")
+    of_all = typed.select("codigo_ncm_sh", F.lit(ALL_TYPES).alias("escopo"), F.lit(None).cast("string").alias("tipo")).distinct()
+    return items.join(of_types.unionByName(of_all), "codigo_ncm_sh").groupBy(
+        *keep, "escopo", "tipo", F.year("data_emissao").cast("bigint").alias("ano"),
+        "chave_de_acesso", supplier_id().alias("fornecedor"),
+    ).agg(F.sum("valor_total").alias("valor"))
 
 
 def sums(values: DataFrame, *keep: str) -> DataFrame:

@@ -150,6 +150,7 @@ def build_gold(
 
 #: Tables of states, and of the numbers that keys have in them.
 STATES = ("estado_tipos_somas", "estado_tipos_conjuntos", "estado_codigos")
+VALUES = "valores_a_somar"  # there only during a run; after a failure the next run writes it anew
 NUMBERS = {"numeros_fornecedores": states.supplier_keys, "numeros_notas": states.invoice_keys}
 
 
@@ -174,12 +175,15 @@ def update_states(spark: SparkSession, root: str, group_a: DataFrame, replace: S
         known = layers.read_table(spark, root, "gold", table)
         layers.append_rows(states.new_numbers(keys(items), known), root, "gold", table)
         numbers[table] = layers.read_table(spark, root, "gold", table)
-    values = states.typed_values(items, group_a, "periodo")
+    # The sums and both sets are made of the same values, written once.
+    layers.write_table(states.typed_values(items, group_a, "periodo"), root, "gold", VALUES)
+    values = layers.read_table(spark, root, "gold", VALUES)
     sets = states.key_sets(values, {
         "fornecedores_distintos": ("fornecedor", numbers["numeros_fornecedores"]),
         "notas_distintas": ("chave_de_acesso", numbers["numeros_notas"])}, "periodo")
     for table, state in zip(STATES, (states.sums(values, "periodo"), sets, states.code_sums(items, "periodo"))):
         layers.write_periods(state, root, "gold", table, rebalance=True, periods=periods)
+    layers.delete_folder(spark, layers.table_path(root, "gold", VALUES))
     return periods
 
 

@@ -5,6 +5,7 @@ import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from invoice_lake.operators import marts, matching, states
 from invoice_lake.plans import lake, reports
@@ -102,6 +103,23 @@ def test_counts_come_without_expand(spark, tmp_path, lines, group_a):
     assert {r.balde for r in sets.collect()} == {1, 2}
 
 
+def test_values_come_from_one_read_of_the_items(spark, tmp_path, lines, group_a):
+    path = str(tmp_path / "itens")
+    lines(*JANUARY, *FEBRUARY).write.parquet(path)
+    values = states.typed_values(spark.read.parquet(path), group_a, "periodo")
+    assert plan(values).count("FileScan") == 1
+    found = rows_of(values.groupBy("escopo", "tipo").agg(F.sum("valor").cast("int")))
+    assert found == sorted([("tipo", "A", 18), ("tipo", "B", 7), ("tipo", "C", 7), ("todos", None, 25)], key=str)
+
+
+def test_invoices_are_numbered_by_period(spark, lines):
+    rows = [(month, "11", 1, 1, None, f"n{i}", "x") for i in range(200) for month in (("2024-01", "2024-02")[i % 2], "2024-03")]
+    keys = states.invoice_keys(lines(*rows).repartition(3))
+    numbers = {row.chave: row.numero for row in states.new_numbers(keys, None).collect()}
+    assert len(set(numbers.values())) == 200
+    assert max(numbers[f"n{i}"] for i in range(0, 200, 2)) < min(numbers[f"n{i}"] for i in range(1, 200, 2))
+
+
 def test_keyword_table(spark):
     texts = ["tubo pvc 50%", "a_b", "ção é", "pvc", None, "", "TUBO", "xy" * 3000 + "pvc", "tubo pvc 50%", "😀pe"]
     words = ["pvc", "50%", "_", "ção", "o", "", None, "zzz", "tubo pvc 50%", "pvc", "😀p", "xyxyxyx", "é"]
