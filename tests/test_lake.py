@@ -14,6 +14,7 @@ from invoice_lake.plans import lake
 from invoice_lake.sources import delivery, landing, layers, mappings
 from invoice_lake.streaming.monthly import stream_archives
 from tests.conftest import column
+from workload import archives
 
 ITEM_HEADER = (
     "CHAVE DE ACESSO;NÚMERO;DATA EMISSÃO;CPF/CNPJ Emitente;NÚMERO PRODUTO;DESCRIÇÃO DO PRODUTO/SERVIÇO;CÓDIGO NCM/SH;"
@@ -233,3 +234,46 @@ def test_command_line_from_another_folder(spark, places, tmp_path):
     assert report("totais_com_sinal").count() == 1
     assert [(r.qtd_notas, r.cnpj_disponivel) for r in report("fornecedores_presenca").orderBy("qtd_notas").collect()] == [(1, False), (2, True)]
     assert [tuple(r) for r in report("fornecedores_exterior").collect()] == [("EX7", 1)]
+
+
+def test_a_large_member_becomes_several_compressed_files(spark, places, monkeypatch):
+    folder, root, staging = places
+    put_archive(folder, "202406", [item_line("A", text='"uma\r\nquebra"'), item_line("B"), item_line("C") + ";surplus", item_line("D") + ";surplus"])
+    put_archive(folder, "202407", [])
+    members, _ = landing.split_members(landing.list_members(landing.list_archives(spark, str(folder))).collect())
+
+    def small_parts(row, target, rejects, copy=landing._copy_member):
+        landing.PART_BYTES = 10
+        return copy(row, target, rejects)
+
+    monkeypatch.setattr(landing, "_copy_member", small_parts)
+    staged = landing.unpack(spark, members, staging)
+    rows = sorted((r.periodo, r.records, r.rejected) for r in staged if r.tabela == "itens")
+    assert rows == [("2024-06", 1, 0), ("2024-06", 1, 2), ("2024-07", 0, 0)]
+    files = [p for p in Path(staging).rglob("*") if p.is_file()]
+    assert files and all(p.read_bytes()[:2] == b"\x1f\x8b" for p in files)
+    found = landing.read_staged(spark, staged, staging, "itens")
+    assert sorted(column(found, "DESCRIÇÃO DO PRODUTO/SERVIÇO")) == ['Tubo; "PVC" rígido', "uma\r\nquebra"]
+    assert sorted(r.registro for r in landing.read_rejects(spark, staging).collect()) == [3, 4]
+
+
+def test_deliveries_leave_only_the_archives(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "shared_folder", lambda spark, name: str(tmp_path / "shared" / name))
+    rows = spark.createDataFrame([("A", "ação", "2024-06"), ("B", None, "2024-07")], "chave string, texto string, periodo string")
+    archives.deliver(spark, str(tmp_path / "in"), "NFe", {"nf": rows})
+    assert not [p for p in (tmp_path / "shared").rglob("*") if p.is_file()]
+    with zipfile.ZipFile(tmp_path / "in" / "202406_NFe.zip") as archive:
+        assert archive.read("202406_NFe_NotaFiscal.csv").decode("latin-1") == '"chave";"texto"\r\n"A";"ação"\r\n'
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    def shuffled():
+        local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {p for folder in local for p in Path(folder).rglob("shuffle_*.data")}
+
+    rows = spark.range(1000).selectExpr("id % 7 as k", "'2024-06' as periodo")
+    before = shuffled()
+    layers.write_periods(rows.groupBy("k", "periodo").count(), str(tmp_path), "silver", "t", rebalance=True)
+    layers.write_table(rows.groupBy("k").count(), str(tmp_path), "gold", "t")
+    assert not shuffled() - before
+    assert layers.read_table(spark, str(tmp_path), "gold", "t").count() == 7
