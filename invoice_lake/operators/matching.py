@@ -1,8 +1,8 @@
 """Joins of invoice items with code, prefix, chain, keyword and supplier tables.
 
-No join here forces a broadcast. Spark compares the size of the mapping side with
+No join here forces a broadcast beyond Spark's own limit. Spark compares the size of the mapping side with
 spark.sql.autoBroadcastJoinThreshold when it plans and, under adaptive execution, again with the
-size measured at run time; a larger mapping is shuffled, and adaptive execution splits the
+size measured at run time (keyword tables are measured here); a larger mapping is shuffled, and adaptive execution splits the
 partitions of hot codes. Every condition is an equality, so neither plan is a nested loop.
 """
 
@@ -244,45 +244,61 @@ _BLANKS = r"[ \t\n\r]+"
 
 
 def match_keyword_table(texts: DataFrame, text: str, keywords: DataFrame, needle: str, k: int = 3) -> DataFrame:
-    """(text_id, needle) of every needle that a text contains, for a keyword table of any size; text_id is the text's md5.
+    """(text_id, needle) of every needle that a text contains, for a keyword table of any size; text_id is the text's md5, 16 bytes.
 
     A needle without blanks lies within a word, so it is looked up in the distinct words of all texts, and the texts meet their
     words: the work grows with the words that differ, not with the characters. The others are looked up in the texts themselves.
+    A word's needles stay an array until they have reached the text, where those of several words are made distinct: one shuffle
+    of a row per text and word, and the result is dealt by text.
     Needles are taken literally; empty and null ones find nothing.
     """
-    named = texts.where(F.col(text).isNotNull()).select(F.md5(text).alias("text_id"), F.col(text).alias("_texto"))
+    named = texts.where(F.col(text).isNotNull()).select(text_id(F.col(text)).alias("text_id"), F.col(text).alias("_texto"))
     needles = keywords.select(F.col(needle).alias("_agulha")).where("_agulha <> ''").distinct()
     blank = F.col("_agulha").rlike(_BLANKS)
     pieces = F.array_distinct(F.split("_texto", _BLANKS))
-    words = named.select("text_id", F.explode(pieces).alias("_texto")).where("_texto <> ''")
-    found = _contained(words.select(F.col("_texto").alias("text_id"), "_texto").distinct(), needles.where(~blank), k)
-    per_word = found.groupBy(F.col("text_id").alias("_texto")).agg(F.collect_list("_agulha").alias("_agulhas"))
-    within = words.join(per_word, "_texto").select("text_id", F.explode("_agulhas").alias(needle)).distinct()
-    across = _contained(named, needles.where(blank), k).select("text_id", F.col("_agulha").alias(needle))
-    return within.unionByName(across)
+    words = named.select("text_id", F.explode(pieces).alias("_palavra")).where("_palavra <> ''")
+    per_word = _met(words.select("_palavra").distinct(), "_palavra", needles.where(~blank), k).where(
+        F.contains("_palavra", "_agulha")).groupBy("_palavra").agg(F.collect_list("_agulha").alias("_agulhas"))
+    within = words.join(per_word, "_palavra").select("text_id", "_agulhas")
+    once = named.groupBy("text_id").agg(F.first("_texto").alias("_texto"))
+    # A text passes one shuffle with all needles that it may contain, and checks them in one expression.
+    met = _met(once, "_texto", needles.where(blank), k, "text_id").groupBy("text_id").agg(F.collect_list("_agulha").alias("_agulhas"))
+    across = once.join(met, "text_id").select("text_id", F.filter("_agulhas", lambda n: F.contains("_texto", n)).alias("_agulhas"))
+    dealt = within.unionByName(across).repartition("text_id")
+    return dealt.select("text_id", F.explode("_agulhas").alias(needle)).distinct()
+
+
+def text_id(text: Column) -> Column:
+    return F.unhex(F.md5(text))
 
 
-def _contained(named: DataFrame, needles: DataFrame, k: int) -> DataFrame:
-    """(text_id, _agulha) of every needle that a text (text_id, _texto) contains.
+def _met(texts: DataFrame, text: str, needles: DataFrame, k: int, key: str | None = None) -> DataFrame:
+    """(key, _agulha) of the distinct texts and the needles that they may contain; the text is the key if there is no other.
 
     Each needle is looked up by the rarest of its runs of ``k`` characters (by the whole of it, if it has fewer): texts and
-    needles meet in an equality on that run. The needles met are gathered per text, and the text checks them in one expression, so
-    it passes one shuffle, whatever number of runs and needles it has.
+    needles meet in an equality on that run.
     """
+    key = key or text
     sized = needles.withColumn("_k", F.least(F.char_length("_agulha"), F.lit(k)))
-    lengths = sorted(row[0] for row in sized.select("_k").distinct().collect())  # at most k values
+    per_length = sized.groupBy("_k").agg(F.sum(F.octet_length("_agulha") + 48).alias("bytes")).collect()  # at most k rows
+    lengths = sorted(row["_k"] for row in per_length)
     if not lengths:
-        return named.select("text_id", F.lit(None).cast("string").alias("_agulha")).limit(0)
+        return texts.select(key, F.lit(None).cast("string").alias("_agulha")).limit(0)
     per_needle = sized.select("_agulha", F.explode(_runs(F.col("_agulha"), lengths)).alias("_trecho"), "_k").where(
         F.char_length("_trecho") == F.col("_k")).select("_agulha", "_trecho")
-    index = named.select("text_id", F.explode(_runs(F.col("_texto"), lengths)).alias("_trecho")).join(
-        per_needle.select("_trecho").distinct(), "_trecho").distinct()
+    index = texts.select(key, F.explode(_runs(F.col(text), lengths)).alias("_trecho")).join(
+        per_needle.select("_trecho").distinct(), "_trecho")
     held = index.groupBy("_trecho").agg(F.count("*").alias("_textos"))
     rarest = per_needle.join(held, "_trecho", "left").groupBy("_agulha").agg(
         F.min(F.struct(F.coalesce("_textos", F.lit(0)).alias("n"), "_trecho")).alias("_r")).where("_r.n > 0").select("_agulha", "_r._trecho")
-    met = index.join(rarest, "_trecho").groupBy("text_id").agg(F.collect_list("_agulha").alias("_agulhas"))
-    once = named.groupBy("text_id").agg(F.first("_texto").alias("_texto"))
-    return once.join(met, "text_id").select("text_id", F.explode(F.filter("_agulhas", lambda n: F.contains("_texto", n))).alias("_agulha"))
+    # Spark can't tell how many rows these are, and would deal the whole index by run; they are a row per needle at most.
+    if sum(row["bytes"] for row in per_length) <= _broadcast_bytes(texts):
+        rarest = F.broadcast(rarest)
+    return index.join(rarest, "_trecho").select(key, "_agulha")
+
+
+def _broadcast_bytes(df: DataFrame) -> int:
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def join_keyword_table(df: DataFrame, text: str, keywords: DataFrame, needle: str = "agulha", k: int = 3) -> DataFrame:
@@ -291,7 +307,7 @@ def join_keyword_table(df: DataFrame, text: str, keywords: DataFrame, needle: st
     Like LEFT JOIN ON text LIKE '%needle%' with literal needles. ``df`` has none of the columns of ``keywords``.
     """
     found = match_keyword_table(df, text, keywords, needle, k).join(keywords, needle)
-    return df.withColumn("text_id", F.md5(text)).join(found, "text_id", "left").drop("text_id")
+    return df.withColumn("text_id", text_id(F.col(text))).join(found, "text_id", "left").drop("text_id")
 
 
 def join_supplier_presence(

@@ -1,3 +1,6 @@
+import hashlib
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +139,23 @@ def test_needles_within_a_word_are_looked_up_in_distinct_words(spark):
     expected = sorted((i, w) for i, t in enumerate(texts) for w in words if t is not None and w and w in t)
     joined = matching.join_keyword_table(df, "texto", table)
     assert sorted((r.n, r.agulha) for r in joined.where("agulha is not null").collect()) == expected
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_found_needles_pass_one_shuffle_by_text(spark, threshold):
+    """Needles are dealt by text as a word's array; no shuffle has a row per text and needle, and none has the words' runs if needles are few."""
+    df = spark.createDataFrame([(1, "pet azul pet"), (2, "azul"), (3, None)], "n int, texto string")
+    table = spark.createDataFrame([("pet",), ("e",), ("a",), ("t a",)], "agulha string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = matching.match_keyword_table(df, "texto", table, "agulha")
+        steps, rows = plan(found), found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((bytes(r.text_id).hex(), r.agulha) for r in rows) == sorted(
+        (hashlib.md5(t.encode()).hexdigest(), w) for t, w in (
+            ("pet azul pet", "pet"), ("pet azul pet", "e"), ("pet azul pet", "a"), ("pet azul pet", "t a"), ("azul", "a")))
+    assert not re.search(r"Exchange hashpartitioning\(text_id[^,]*, agulha", steps)
+    assert len(re.findall(r"Exchange hashpartitioning\(text_id[^\n]*REPARTITION", steps)) == 1
+    assert ("BroadcastHashJoin [_trecho" in steps) == (threshold == "10m")
