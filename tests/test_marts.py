@@ -221,3 +221,27 @@ def test_items_pass_their_shuffles_before_they_stand_once_per_chain(make_items,
     dealt = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line and "numero" in line]
     assert expanded and dealt and expanded[0] < dealt[0]
     assert "Expand" not in plan(found) and found.count() == 2
+
+
+def test_chain_reports_deal_the_items_by_key_once(spark, tmp_path, make_items, make_chains):
+    """The rows of single keys and of copies, and all sums of a report, read one shuffle of the items; small mappings are broadcast."""
+    path = str(tmp_path / "itens")
+    rows = [{"chave_de_acesso": f"K{i}", "numero": i, "codigo_ncm_sh": code, "valor_total": value, "descricao_do_produto_servico": text}
+            for i, code, value, text in ((1, "84240001", 1, "a"), (2, "84240001", 2, "a"), (2, "84240001", 3, "b"), (2, "84990001", 5, "a"), (3, "11110001", 9, "a"))]
+    make_items(*rows).write.parquet(path)
+    chains = make_chains(("C1", "8424", "x"), ("C1", "84", "y"), ("C2", "8499", "x"), ("C3", "99", "x"))
+    links = matching.chain_links(spark.read.parquet(path), chains, [2024], ("codigo_cadeia", "cnae"), marts.CNAE_KEY)
+    report = marts.chain_by_cnae(links, [2024])
+    assert sorted((r.codigo_cadeia, r.cnae, r.valor_total, r.notas, r.itens) for r in report.collect()) == [
+        ("C1", "x", 3, 2, 2), ("C1", "y", 3, 2, 2), ("C2", "x", 5, 1, 1)]
+    final = plan(report).split("== Initial Plan ==")[0]
+    dealt = [line for line in final.splitlines() if "Exchange hashpartitioning(numero" in line and "ReusedExchange" not in line]
+    assert len(dealt) == 1
+
+
+def test_codes_are_cut_to_the_mappings_lengths(spark, make_chains):
+    codes = spark.createDataFrame([("84240001",), ("8424",), ("",), (None,)], "codigo_ncm_sh string")
+    found = matching.match_chains(codes, make_chains(("C1", "842400"), ("C2", "8424")).select("prefixo_sh", "tamanho_prefixo", "codigo_cadeia"))
+    assert sorted((r.codigo_ncm_sh, r.codigo_cadeia) for r in found.collect()) == [("8424", "C2"), ("84240001", "C1"), ("84240001", "C2")]
+    assert matching.match_chains(codes, make_chains().select("prefixo_sh", "tamanho_prefixo", "codigo_cadeia")).count() == 0
+    assert "sequence(1" not in plan(found)
